@@ -475,10 +475,9 @@ def q_news_attach_dates(spark, d):
 
 @query
 def q_sentiment_label(spark, d):
-    score = text.words("text")
     docs = table(spark, d, "documents").select(
         "doc_id", news.lexicon_score("text", PROSE_POSITIVE, PROSE_NEGATIVE).alias("score"),
-        F.size(score).alias("word_count"))
+        F.size(text.words("text")).alias("word_count"))
     return docs.select(
         "doc_id", "word_count", "score",
         serve.sentiment("score").alias("sentiment"),
@@ -490,9 +489,8 @@ def q_entity_match(spark, d):
     """Documents that mention an entity, the longest ones of each."""
     docs = table(spark, d, "documents")
     terms = match.search_terms(feed(spark, d, "entities"), suffix=".JK")
-    pairs = match.match_entities(docs, terms, match.term_lengths(terms))
-    sized = pairs.join(docs.select("doc_id", "n_chars"), "doc_id")
-    return pick.top_per_key(sized, "ticker", [F.col("n_chars").desc(), F.col("doc_id")],
+    pairs = match.match_entities(docs, terms, keep=["n_chars"])
+    return pick.top_per_key(pairs, "ticker", [F.col("n_chars").desc(), F.col("doc_id")],
                             news.DAILY_RESULTS, rank="rank")
 
 

@@ -19,8 +19,9 @@ def to_measure(c: Column | str) -> Column:
 
 
 def to_long(c: Column | str) -> Column:
-    """Whole number, fraction cut off. By way of decimal: ``'12.0'`` is no bigint under ANSI."""
-    return _col(c).try_cast("decimal(38,6)").try_cast("bigint")
+    """Whole number, fraction cut off; ``'12.0'`` is no bigint under ANSI, but it is a decimal."""
+    x = _col(c)
+    return F.coalesce(x.try_cast("bigint"), x.try_cast("decimal(38,6)").try_cast("bigint"))
 
 
 def to_date(c: Column | str) -> Column:

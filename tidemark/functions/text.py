@@ -27,20 +27,18 @@ REFERENCES = {
 }
 
 
-def words(text: Column | str) -> Column:
-    """Lower-case words in order."""
-    spaced = F.trim(F.regexp_replace(F.lower(_col(text)), NOT_WORD, " "))
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+def spaced_words(text: Column | str) -> Column:
+    """Lower-case words in order, one blank between them."""
+    return F.trim(F.regexp_replace(F.lower(_col(text)), NOT_WORD, " "))
+
 
+def word_array(spaced: Column | str) -> Column:
+    """Words of a text that ``spaced_words`` made; a text without words has none."""
+    return F.array_remove(F.split(_col(spaced), " "), "")
 
-def phrases(word_list: Column, length: int) -> Column:
-    """All runs of ``length`` neighbouring words, joined by a blank."""
-    if length == 1:
-        return word_list
-    starts = F.when(
-        F.size(word_list) >= length, F.sequence(F.lit(1), F.size(word_list) - (length - 1))
-    ).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(word_list, i, length), " "))
+
+def words(text: Column | str) -> Column:
+    return word_array(spaced_words(text))
 
 
 def count_words(word_list: Column, wanted: list[str] | tuple[str, ...]) -> Column:
@@ -52,12 +50,12 @@ def element_text(html: Column | str, tag: str, element_id: str | None = None) ->
     attrs = r"(?:\s[^>]*)?"
     if element_id is not None:
         attrs = rf"\s(?:[^>]*\s)?id\s*=\s*[\"']?{re.escape(element_id)}[\"']?{attrs}"
-    pattern = rf"(?is)<{tag}{attrs}>(.*?)</{tag}\s*>"
-    page = _col(html)
-    text = F.regexp_replace(F.regexp_extract(page, pattern, 1), "<[^>]+>", "")
+    pattern = rf"(?is)<{tag}{attrs}>.*?</{tag}\s*>"
+    element = F.nullif(F.regexp_extract(_col(html), pattern, 0), F.lit(""))
+    text = F.regexp_replace(element, "<[^>]+>", "")
     for reference, char in REFERENCES.items():
         text = F.replace(text, F.lit(reference), F.lit(char))
-    return F.when(F.regexp_like(page, F.lit(pattern)), text)
+    return text
 
 
 def percent(text: Column | str) -> Column:

@@ -10,13 +10,17 @@ from .pick import Keys, as_list
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; the count stops there."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only after counting that it is small.
 
-    The count stops at ``max_rows + 1``. Beyond the limit the side stays unmarked, and Spark
-    joins by sort-merge with skew handling.
+    Beyond the limit the side stays unmarked, and Spark joins by sort-merge with skew handling.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def join_snapshots(series: DataFrame, snapshots: DataFrame,

@@ -4,47 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import phrases, strip_suffix, words
-from .joins import broadcast_if_small
+from ..functions.text import spaced_words, strip_suffix, word_array
+from .joins import MAX_BROADCAST_ROWS, is_small
+
+
+def _rarest_guess(word_list: Column) -> Column:
+    """The longest word of a phrase, as the one that is likely to be in few texts."""
+    return F.array_max(F.transform(
+        word_list, lambda w: F.struct(F.length(w).alias("length"), w.alias("word"))))["word"]
 
 
 def search_terms(entities: DataFrame, key: str = "ticker", name: str = "company_name",
                  suffix: str = "") -> DataFrame:
-    """The phrases an entity is searched by: its name, and its code without the suffix."""
+    """(key, phrase, anchor): an entity is searched by its name and by its code without suffix."""
     code = strip_suffix(key, suffix) if suffix else F.col(key)
     return (
         entities.select(key, F.explode(F.array(F.col(name), code)).alias("_text"))
-        .select(key, words("_text").alias("_words"))
-        .select(key, F.array_join("_words", " ").alias("phrase"),
-                F.size("_words").alias("length"))
-        .filter(F.col("length") > 0)
+        .select(key, spaced_words("_text").alias("phrase"))
+        .filter(F.col("phrase") != "")
         .distinct()
+        .withColumn("anchor", _rarest_guess(word_array("phrase")))
     )
 
 
-def match_entities(texts: DataFrame, terms: DataFrame, lengths: Sequence[int],
-                   text_id: str = "doc_id", text: str = "text",
-                   key: str = "ticker") -> DataFrame:
-    """Pairs (key, text id) where the whole text contains a phrase of the entity.
-
-    Every text is turned into its distinct phrases of the searched lengths, which are joined to
-    the terms by equality: work grows with the texts plus the matches, never with texts times
-    entities. With a short list the join runs inside the scan and only matches are shuffled;
-    with a long one both sides are shuffled by phrase, and Spark splits frequent phrases.
+def _says(text: str, phrase: str) -> Column:
+    """Whether the words of a phrase stand in the text, whole and in order."""
+    def padded(c: str) -> Column:
+        return F.concat(F.lit(" "), F.col(c), F.lit(" "))
+    return F.contains(padded(text), padded(phrase))
 
-    ``lengths`` are the word counts that occur in ``terms``.
-    """
-    found = F.array_distinct(F.flatten(F.array(*[phrases(F.col("_words"), n) for n in lengths])))
-    spoken = (
-        texts.select(text_id, words(text).alias("_words"))
-        .select(text_id, F.explode(found).alias("phrase"))
-    )
-    hits = spoken.join(broadcast_if_small(terms.select(key, "phrase")), on="phrase")
-    return hits.select(key, text_id).distinct()
 
+def match_entities(texts: DataFrame, terms: DataFrame, text_id: str = "doc_id",
+                   text: str = "text", key: str = "ticker",
+                   keep: Sequence[str] = (), max_terms: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Pairs (key, text id), and the texts' columns ``keep``, where the whole text contains a phrase of the entity.
 
-def term_lengths(terms: DataFrame) -> list[int]:
-    """Word counts of the terms: a handful of numbers, grouped before they reach the driver."""
-    return sorted(r[0] for r in terms.select("length").distinct().collect())
+    The distinct words of each text meet the terms by equality with one word of the phrase, the
+    anchor, and only such candidates are searched for the phrase: work grows with the texts plus
+    the candidates, not with texts times entities. With a short list all of this runs inside the
+    scan and only matches are shuffled. With a long list words and terms are shuffled without the
+    texts, Spark splits frequent words, and the texts come back by their id for the search.
+    """
+    spoken = texts.select(text_id, *keep, spaced_words(text).alias("_text"))
+    word = F.explode(F.array_distinct(word_array("_text"))).alias("anchor")
+    if is_small(terms, max_terms):
+        candidates = spoken.select(text_id, *keep, "_text", word).join(F.broadcast(terms), on="anchor")
+    else:
+        candidates = (
+            spoken.select(text_id, word).join(terms, on="anchor").join(spoken, on=text_id))
+    return candidates.filter(_says("_text", "phrase")).select(key, text_id, *keep).distinct()

@@ -106,12 +106,15 @@ def moving_averages(df: DataFrame, rows: Sequence[int] = SMA_ROWS, value: str =
 
 def periodic_returns(df: DataFrame, lags: Mapping[str, int] = RETURN_LAGS, value: str = "close",
                      key: Keys = "ticker", order: str = "date") -> DataFrame:
-    """Relative change against earlier rows; null before they exist and against zero."""
+    """Relative change against earlier rows; null before they exist and against zero.
+
+    Lags are columns of their own first: written twice in a formula, each would be computed twice.
+    """
     w = _series(key, order)
-    return df.withColumns({
-        name: F.try_divide(F.col(value) - F.lag(value, n).over(w), F.lag(value, n).over(w))
-        for name, n in lags.items()
-    })
+    lagged = df.withColumns({f"_{name}": F.lag(value, n).over(w) for name, n in lags.items()})
+    return lagged.withColumns({
+        name: F.try_divide(F.col(value) - F.col(f"_{name}"), F.col(f"_{name}")) for name in lags
+    }).drop(*[f"_{name}" for name in lags])
 
 
 def rolling_moments(df: DataFrame, value: str = "1d_return", rows: int = TRADING_DAYS,

@@ -27,10 +27,12 @@ def latest_market_from_prices(prices: DataFrame, metrics: DataFrame,
     newest_first = F.col("date").desc()
     recent = top_per_key(prices.select("ticker", "date", "close"), "ticker", [newest_first],
                          rows + 1, rank="_back")
-    previous = F.lead("close").over(Window.partitionBy("ticker").orderBy(newest_first))
-    r = F.when(F.col("_back") <= rows,
-               F.try_divide(F.col("close") - previous, previous))
-    recent = recent.withColumn("_return", r)
+    by_age = Window.partitionBy("ticker").orderBy(newest_first)
+    in_frame = F.col("_back") <= rows
+    recent = recent.withColumn("_previous", F.lead("close").over(by_age)).withColumn(
+        "_return",
+        F.when(in_frame, F.try_divide(F.col("close") - F.col("_previous"), F.col("_previous"))),
+    )
 
     def close_at(back: int):
         return F.max(F.when(F.col("_back") == back, F.col("close")))
