@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators import series, split
 from ..schemas import METRICS
@@ -14,6 +14,13 @@ FACT_COLUMNS = (
     *series.RETURN_LAGS, "sharpe_ratio_252d", "var_95_252d", "PBV", "EPS", "PER",
 )
 
+_KINDS = {"ticker": T.StringType(), "date": T.DateType(), "volume": T.LongType(),
+          "earnings": T.LongType(), "market_cap": T.LongType(),
+          "shares_outstanding": T.LongType()}
+FACT = T.StructType([
+    T.StructField(name, _KINDS.get(name, T.DoubleType())) for name in FACT_COLUMNS
+])
+
 # Rows a risk measure depends on: the frame itself and the one-day lag of its first row.
 LOOK_BACK = series.TRADING_DAYS
 
