@@ -78,6 +78,20 @@ def test_raw_to_gold(spark, zones):
     assert column(served, "news_title", "ticker") == [None, "t4"]
 
 
+def test_published_tables_answer_sql(spark, zones):
+    lakehouse.build_silver(spark, zones)
+    lakehouse.build_market_and_risk(spark, zones, split_rows=4)
+    lakehouse.build_gold(spark, zones)
+    lakehouse.register_views(spark, zones)
+    assert spark.sql("SELECT * FROM snapshot").count() == 4
+    one = spark.sql("SELECT * FROM chart_data WHERE ticker = '0700' ORDER BY date")
+    assert "PartitionFilters: [isnotnull(ticker" in one._jdf.queryExecution().toString()
+    assert column(one, "date") == [day(i) for i in range(6)]
+    served = spark.sql("SELECT ticker, ytd_return, metric_1 FROM served_snapshot")
+    assert ("0700", None, 4.0) in [tuple(r) for r in served.collect()]
+    assert spark.sql("SELECT close_price FROM served_chart_data").count() == 18
+
+
 def test_wrong_header_is_an_error(spark, tmp_path):
     put(tmp_path, "ticker=A/x.csv", "Date,Open,High,Low,Close,Volume\n2026-01-01,1,2,3,4,5\n")
     with pytest.raises(Exception, match="header"):

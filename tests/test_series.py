@@ -107,7 +107,9 @@ def test_split_fill_equals_whole_fill(walk, backfill):
 
 def test_no_group_holds_more_than_a_segment(walk):
     rows_, look_back = 100, 252
-    pieces = split.with_segments(walk, "ticker", "date", split.day_run(days=64), rows_, look_back)
+    pieces = split.with_segments(
+        split.in_pieces(walk, "ticker", split.day_run(days=64)), "ticker", "date", rows_,
+        look_back)
     sizes = pieces.groupBy("ticker", split.SEGMENT).count()
     assert sizes.agg(F.max("count")).first()[0] <= rows_ + look_back
     assert pieces.filter(split.OWN).count() == walk.count()

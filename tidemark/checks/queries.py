@@ -85,6 +85,11 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 
 # -- sources and sinks --------------------------------------------------------------------------
 
+def _tasks(spark: SparkSession) -> int:
+    """Writers for feeds of many small folders."""
+    return spark.sparkContext.defaultParallelism
+
+
 @query
 def q_scan_json_schema(spark, d):
     path = work_dir(spark, "profiles")
@@ -99,14 +104,15 @@ def q_scan_json_partitioned(spark, d):
     # A folder holds one snapshot per ticker and day.
     order = [F.col(c).desc_nulls_last() for c in schemas.METRICS]
     write.land(pick.keep_first(raw, ["ticker", *schemas.RUN_DATE], order), path,
-               schemas.RUN_DATE, fmt="json")
+               schemas.RUN_DATE, fmt="json", tasks=_tasks(spark))
     return clean.cast_metrics(read.read_metrics(spark, path))
 
 
 @query
 def q_scan_json_rates(spark, d):
     path = work_dir(spark, "rates")
-    write.land(feed(spark, d, "rates_raw"), path, schemas.RUN_DATE, fmt="json")
+    write.land(feed(spark, d, "rates_raw"), path, schemas.RUN_DATE, fmt="json",
+               tasks=_tasks(spark))
     return read.read_rates(spark, path).withColumn(
         "risk_free_rate", safe.to_measure("risk_free_rate"))
 
@@ -122,7 +128,8 @@ def q_scan_json_news(spark, d):
         *[c.alias(name) for name, c in dates.run_date_parts(day).items()],
         F.to_json(F.array(F.struct("title", "summary", "publication_date"))).alias("value"),
     )
-    write.land(lines, path, ["ticker", *schemas.RUN_DATE], fmt="text")
+    write.land(lines, path, ["ticker", *schemas.RUN_DATE], fmt="text",
+               tasks=_tasks(spark))
     return read.read_news(spark, path).select(*schemas.NEWS_RAW.fieldNames())
 
 
@@ -137,9 +144,9 @@ def q_scan_csv_glob(spark, d):
             *[F.col(c).alias(c.capitalize()) for c in ("close", "high", "low", "open", "volume")])
 
     write.land(as_text(feed(spark, d, "px_hist")).drop("year"), path, "ticker", fmt="csv",
-               header=True)
+               tasks=_tasks(spark), header=True)
     write.land(as_text(feed(spark, d, "px_day")), path, ["ticker", "year"], fmt="csv",
-               header=True)
+               tasks=_tasks(spark), header=True)
     return clean.union_prices(
         clean.clean_prices(read.read_historical_prices(spark, path)),
         clean.clean_prices(read.read_daily_prices(spark, path, ("year",))),
@@ -195,9 +202,9 @@ def q_sink_dynamic_partition(spark, d):
     path = work_dir(spark, "px")
     parts = ["ticker", "year"]
     by_year = feed(spark, d, "px").withColumn("year", F.year("date"))
-    write.land(by_year, path, parts, sort_by=["date"])
+    write.land(by_year, path, parts, sort_by=["date"], tasks=_tasks(spark))
     again = feed(spark, d, "px_day").withColumn("year", F.year("date"))
-    write.land(again, path, parts, sort_by=["date"])
+    write.land(again, path, parts, sort_by=["date"], tasks=_tasks(spark))
     write.land(again.filter(F.lit(False)), path, parts)
     return read.read_table(spark, path, schemas.with_parts(schemas.PRICES, ("year",))).select(
         *schemas.PRICES.fieldNames())

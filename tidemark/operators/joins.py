@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .pick import Keys, as_list
 
-# About 20 MB of (date, double) rows; a daily calendar of 2,700 years.
-MAX_BROADCAST_ROWS = 1_000_000
+# A daily calendar of 547 years, some 5 MB; 20 MB of search terms.
+MAX_BROADCAST_ROWS = 200_000
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:

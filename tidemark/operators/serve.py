@@ -173,7 +173,7 @@ def formatted_metrics(records: DataFrame) -> DataFrame:
 
 
 def candle_directions(chart: DataFrame) -> DataFrame:
-    return chart.select("ticker", "trading_date",
+    return require_columns(chart, CHART_REQUIRED).select("ticker", "trading_date",
                         candle("open_price", "close_price").alias("direction"))
 
 

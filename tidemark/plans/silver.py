@@ -47,7 +47,10 @@ def market_and_risk_split(prices: DataFrame, metrics: DataFrame, rates: DataFram
     """The same fact with no ticker held by one task, for series finer than a day."""
     slices = split.day_run(order) if slice_of is None else slice_of
     joined = series.attach_sparse(prices, metrics, rates)
-    filled = split.fill_split(joined, [c for c in series.FILLED if c in joined.columns],
-                              order=order, slice_of=slices, backfill=backfill)
-    return _columns(split.in_segments(filled, _measures, order=order, slice_of=slices,
-                                      look_back=LOOK_BACK, rows=rows))
+    filled = split.fill_pieces(
+        split.in_pieces(joined, "ticker", slices),
+        [c for c in series.FILLED if c in joined.columns], order=order, backfill=backfill)
+    # The joins neither add nor lose rows, so the prices alone tell how many there are.
+    counted = split.in_pieces(prices.select("ticker", order), "ticker", slices)
+    return _columns(split.measure_pieces(filled, _measures, key="ticker", order=order,
+                                         look_back=LOOK_BACK, rows=rows, counted=counted))
