@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.checks.inputs import feed
 from tidemark.checks.queries import QUERIES
-from tidemark.operators import joins, news, pick, series, serve
+from tidemark.operators import clean, joins, news, pick, series, serve
 from tidemark.plans import silver
 from tidemark.sources import read, write
 from tidemark.schemas import PRICES
@@ -57,6 +57,21 @@ def test_fact_shuffles_prices_by_ticker_once(spark, px, sf_dir):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_deduplicated_feeds_join_without_another_shuffle(spark, px, sf_dir):
+    """Two exchanges of the prices in all, with every join by sort-merge."""
+    metrics = QUERIES["metrics_clean"](spark, sf_dir)
+    rates = QUERIES["riskfree_clean"](spark, sf_dir)
+    prices = clean.union_prices(px, px)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(silver.market_and_risk(prices, metrics, rates))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_both = re.findall(r"Exchange hashpartitioning\(ticker#\d+, date#\d+, \d+\)", text)
+    by_ticker = re.findall(r"Exchange hashpartitioning\(ticker#\d+, \d+\)", text)
+    assert (len(by_both), len(by_ticker)) == (2, 1)  # prices and metrics; prices
+
+
 def test_no_frame_runs_from_the_current_row_to_the_end(spark, sf_dir):
     for name in ("fill_both", "bfill", "market_and_risk"):
         text = plan(QUERIES[name](spark, sf_dir))

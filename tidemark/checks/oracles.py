@@ -285,6 +285,7 @@ ORACLES: dict[str, str] = {
                printf('%02d', day) as day_part from metrics_raw""", "metrics_raw"),
     "sink_overwrite": sql(f"select {ALL_PRICES} from px", "px"),
     "sink_partitioned": sql(f"select {ALL_PRICES} from px", "px"),
+    "sink_clustered": sql(f"select {ALL_PRICES} from px", "px"),
     "sink_dynamic_partition": sql(f"""
         select {ALL_PRICES} from px where (ticker, year(date)) not in
             (select ticker, year(date) from px_day)
@@ -361,6 +362,15 @@ ORACLES: dict[str, str] = {
         union all
         select 'first' as pull, ticker, title, cast(ts as date) as news_date from news
         where ts >= date '{FIRST_RUN_DAY}' - 90 and ts < date '{FIRST_RUN_DAY}'""", "news"),
+    "news_pull": sql(f"""
+        select pull, ticker, title, cast(epoch(ts) as bigint) as epoch
+        from (select *, row_number() over (partition by pull, ticker order by ts desc, title,
+                     summary) as rn
+              from (select 'daily' as pull, 15 as k, * from news
+                    where ts >= date '{RUN_DAY}' and ts < date '{RUN_DAY}' + 1
+                    union all select 'first' as pull, 20 as k, * from news
+                    where ts >= date '{FIRST_RUN_DAY}' - 90 and ts < date '{FIRST_RUN_DAY}') w) r
+        where rn <= k""", "news"),
     "news_to_json": sql("""select ticker, cast(count(*) as int) as items,
         string_agg(title, '|' order by rn) as titles,
         string_agg(summary, '|' order by rn) as summaries from top20 group by ticker""", "top20"),

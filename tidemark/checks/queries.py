@@ -196,6 +196,14 @@ def q_sink_partitioned(spark, d):
     return read.read_table(spark, path, schemas.PRICES).select(*schemas.PRICES.fieldNames())
 
 
+@query
+def q_sink_clustered(spark, d):
+    """Ranges of ticker and date instead of folders: for more tickers than a file system likes."""
+    path = work_dir(spark, "px")
+    write.overwrite_clustered(feed(spark, d, "px"), path, ["ticker", "date"])
+    return read.read_table(spark, path, schemas.PRICES)
+
+
 @query
 def q_sink_dynamic_partition(spark, d):
     """Landing again replaces the folders it has rows for and leaves the others."""
@@ -432,6 +440,17 @@ def q_news_window(spark, d):
     return one_day.unionByName(back)
 
 
+@query
+def q_news_pull(spark, d):
+    """A daily and a first pull, each with its limit per ticker."""
+    parsed = _news(spark, d)
+    pulls = [news.pulled_news(parsed, F.lit(day).cast("date"), first).select(
+        F.lit(name).alias("pull"), "ticker", "title",
+        F.unix_timestamp("publication_date").alias("epoch"))
+        for name, day, first in (("daily", RUN_DAY, False), ("first", FIRST_RUN_DAY, True))]
+    return pulls[0].unionByName(pulls[1])
+
+
 @query
 def q_news_to_json(spark, d):
     item = "array<struct<title:string,summary:string>>"

@@ -10,6 +10,7 @@ from functools import wraps
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.dates import in_run_window
 from ..functions.text import count_words, words
 from ..schemas import REPLY
 from .pick import top_per_key
@@ -32,6 +33,13 @@ def newest_news(news: DataFrame, k: int = NEWEST, key: str = "ticker") -> DataFr
     return top_per_key(news, key, newest_first(), k)
 
 
+def pulled_news(news: DataFrame, run: Column, first: bool = False) -> DataFrame:
+    """What one pull brings: the newest items of the run day, or of the days before a first run."""
+    window = (in_run_window("publication_date", run, FIRST_DAYS, 0) if first
+              else in_run_window("publication_date", run, 0, 1))
+    return newest_news(news.filter(window), FIRST_RESULTS if first else DAILY_RESULTS)
+
+
 def neutral_news(news: DataFrame) -> DataFrame:
     """The newest items with a neutral score: what is published without a scorer."""
     return newest_news(news).select(

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -139,7 +140,9 @@ def tail_value(values: Column, tail: float = VAR_TAIL) -> Column:
 
     ``sort_array`` sorts primitives; ``array_sort`` calls a comparator and took 2.5 times as long.
     """
-    rank = F.greatest(F.ceil(F.size(values) * F.lit(tail)).cast("int"), F.lit(1))
+    # As a decimal the product is exact, and a whole number stays one under ceil.
+    share = F.lit(Decimal(str(tail)))
+    rank = F.greatest(F.ceil(F.size(values) * share).cast("int"), F.lit(1))
     return F.try_element_at(F.sort_array(values), rank)
 
 
