@@ -11,7 +11,8 @@ from pyspark.sql import functions as F, types as T
 
 from tidemark import schemas, session
 from tidemark.operators import serve
-from tidemark.plans import gold, lakehouse, silver
+from tidemark.operators.statements import EARNINGS_LINE
+from tidemark.plans import gold, ingest, lakehouse, silver
 from tidemark.sources import read, write
 from tidemark.streaming import landing
 
@@ -165,3 +166,50 @@ def test_work_dir_is_below_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     a, b = session.work_dir(spark, "x"), session.work_dir(spark, "x")
     assert a.startswith(base) and a != b
+
+
+PRICE = "ticker string, date date, open double, high double, low double, close double, volume long"
+
+
+def test_pulled_tables_to_gold(spark, tmp_path):
+    zones = lakehouse.Zones(*(str(tmp_path / z) for z in ("bronze", "silver", "gold")))
+    companies = spark.createDataFrame(
+        [("0700.HK", "Seven Seas", "Tech", "Games"), ("0005.HK", "Five", "Banks", "Regional")],
+        "ticker string, company_name string, sector string, industry string")
+
+    def quotes(start, days, close, tickers=("0700.HK", "0005.HK")):
+        return spark.createDataFrame(
+            [(t, day(i), close, close, close, close, 5) for t in tickers
+             for i in range(start, start + days)], PRICE)
+
+    benchmark = quotes(0, 12, 1.0, ("INDEX",))
+    ingest.land_profiles(companies, zones)
+    ingest.land_history(quotes(0, 10, 100.0), zones)
+    for run in (10, 11, 12, 10):  # the 12th day has no benchmark, the 10th is run twice
+        ingest.land_daily_prices(quotes(run, 1, 100.0 + run), benchmark, zones, day(run))
+    info = spark.createDataFrame(
+        [("0700.HK", "bookValue", 55.5), ("0700.HK", "netIncomeToCommon", 0.0),
+         ("0700.HK", "sharesOutstanding", 10.0), ("0700.HK", "other", 1.0)],
+        "ticker string, name string, value double")
+    lines = spark.createDataFrame(
+        [("0700.HK", EARNINGS_LINE, day(0), 40.0), ("0700.HK", EARNINGS_LINE, day(-90), 1.0)],
+        "ticker string, label string, period date, value double")
+    ingest.land_metrics(info, lines, zones, day(4))
+    pages = spark.createDataFrame(
+        [('<h2 id="description">now 6.71%</h2>',), ("<p>8.00%</p>",)], "html string")
+    ingest.land_rate(pages, zones, day(4))
+    texts = spark.createDataFrame(
+        [(1, "SEVEN seas up", "x", f"{day(10)} 09:00:00"), (2, "code 0700 seen", "y", f"{day(10)} 08:00:00"),
+         (3, "seven, seas", "old", f"{day(9)} 09:00:00"), (4, "nothing", "z", f"{day(10)} 09:00:00")],
+        "id long, title string, summary string, ts string").withColumn(
+        "publication_date", F.to_timestamp("ts")).drop("ts")
+    ingest.land_news(texts, companies, zones, day(10), suffix=".HK")
+
+    lakehouse.build_silver(spark, zones)
+    lakehouse.build_gold(spark, zones)
+    fact = lakehouse.read_fact(spark, zones).filter("ticker = '0700.HK'")
+    assert column(fact, "close", "date") == [100.0] * 10 + [110.0, 111.0]
+    got = read.read_table(spark, zones.published("snapshot")).filter("ticker = '0700.HK'")
+    assert rows(got.select("title", "PBV", "EPS", "risk_free_rate", "date"), "title") == [
+        ("SEVEN seas up", 111 / 55.5, 4.0, 6.71 / 100, day(11)),
+        ("code 0700 seen", 111 / 55.5, 4.0, 6.71 / 100, day(11))]

@@ -120,6 +120,14 @@ FEEDS = {
               from {{lineitem}}) g
         group by ticker, n
     """,
+    # News texts: documents in turn with events, which lend them a time.
+    "texts": """
+        select doc_id as id, heading as title, text as summary, ts
+               as publication_date
+        from (select doc_id, text, concat(source, ' ', lang) as heading
+              from {documents}) d
+        join (select event_id, {seconds} as ts from {events}) e on doc_id = event_id
+    """,
     # Searched companies: a phrase of each benchmark passage as name, a word as code.
     "entities": """
         select distinct concat(w4, '.JK') as ticker, concat(w1, ' ', w2, ' ', w3)
@@ -128,6 +136,17 @@ FEEDS = {
               from {benchmark}) g
         where w4 <> ''
     """,
+    # Rate pages: one per order, some of which quote no rate, or not where it belongs.
+    "rate_pages": """
+        select o_orderkey as page_id,
+               concat('<html><h1>9.99%</h1><p id="description">8.88%</p><H2 class="x" ',
+                      case when o_orderstatus = 'P' then 'id="other"' else 'id="description"' end,
+                      '>The <b>yield</b> &amp; rate rose to ',
+                      cast(cast(floor(o_totalprice / 1000) as bigint) as string),
+                      case when o_orderpriority = '5-LOW' then ' points' else '.25%' end,
+                      '</H2><h2 id="description">7.77%</h2></html>') as html
+        from {orders}
+    """,
     # Intraday quotes with few keys, each holding a fifth of the rows.
     "ticks": """
         select event_type as ticker, event_id as seq, cast(floor(value * 100) as double) as close
@@ -137,11 +156,13 @@ FEEDS = {
 
 _SPARK = {
     "dow_monday_saturday": "dayofweek(o_orderdate) in (2, 7)",
+    "seconds": "cast(date_trunc('SECOND', ts) as timestamp)",
     "feed_time": "concat(date_format(ts, 'EEE, dd MMM yyyy HH:mm:ss'), ' GMT')",
     **{f"word_{n}": f"split_part(text, ' ', {n})" for n in range(1, 5)},
 }
 _DUCKDB = {
     "dow_monday_saturday": "dayofweek(o_orderdate) in (1, 6)",
+    "seconds": "date_trunc('second', ts)",
     "feed_time": "strftime(ts, '%a, %d %b %Y %H:%M:%S GMT')",
     **{f"word_{n}": f"split_part(text, ' ', {n})" for n in range(1, 5)},
 }

@@ -259,6 +259,11 @@ _PIVOT = "select ticker, " + ", ".join(
 
 _NEWS_COLUMNS = "ticker, title, sentiment_score, summary, news_date"
 
+_TERMS = r"""(select distinct ticker,
+    trim(regexp_replace(lower(term), '[^\p{L}\p{N}]+', ' ', 'g')) as phrase
+    from (select ticker, company_name as term from entities
+          union all select ticker, replace(ticker, '.JK', '') from entities) a)"""
+
 ORACLES: dict[str, str] = {
     "scan_json_schema": sql("select * from profiles_raw", "profiles_raw"),
     "scan_json_partitioned": sql(f"""
@@ -384,14 +389,33 @@ ORACLES: dict[str, str] = {
         select ticker, doc_id, n_chars, cast(rank as int) as rank from (
           select *, row_number() over (partition by ticker order by n_chars desc, doc_id) as rank
           from (select distinct ticker, doc_id, n_chars
-                from (select distinct ticker, trim(regexp_replace(lower(term),
-                             '[^\p{L}\p{N}]+', ' ', 'g')) as phrase
-                      from (select ticker, company_name as term from entities
-                            union all select ticker, replace(ticker, '.JK', '')
-                            from entities) a) terms
-                join docs on phrase <> ''
+                from """ + _TERMS + r""" terms join docs on phrase <> ''
                      and contains(' ' || spaced || ' ', ' ' || phrase || ' ')) m) r
         where rank <= 15""", "entities", "docs"),
+    "rate_pages": sql("""
+        select o_orderkey as page_id, (floor(o_totalprice / 1000) + 0.25::double) / 100
+               as risk_free_rate
+        from orders where o_orderstatus <> 'P' and o_orderpriority <> '5-LOW'
+        union all
+        select o_orderkey, 7.77::double / 100 from orders where o_orderstatus = 'P'"""),
+    "news_of_entities": sql(r"""
+        select ticker, id as doc_id, title, cast(epoch(publication_date) as bigint) as epoch
+        from (select *, row_number() over (partition by ticker order by publication_date desc,
+                     title, summary) as rn
+              from (select distinct ticker, id, title, summary, publication_date
+                    from """ + _TERMS + rf""" terms
+                    join (select *, ' ' || trim(regexp_replace(lower(title || ' ' || summary),
+                                 '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' ' as said from texts) t
+                    on phrase <> '' and contains(said, ' ' || phrase || ' ')
+                    where publication_date >= date '{FIRST_RUN_DAY}' - 90
+                      and publication_date < date '{FIRST_RUN_DAY}') m) r
+        where rn <= 20""", "entities", "texts"),
+    "metric_snapshot": sql(f"""
+        select ticker, {', '.join(m for m in METRICS if m != 'earnings')},
+               coalesce(nullif(earnings, 0), value) as earnings
+        from ({_PIVOT}) p left join (select ticker, value from {_LATEST_VALUE} v
+             where label = '{EARNINGS_LINE}') s using (ticker)""",
+                           "company_info", "statement_lines"),
     "statement_latest": sql(f"select ticker, label, value from {_LATEST_VALUE} v",
                             "statement_lines"),
     "metrics_pivot": sql(_PIVOT, "company_info"),

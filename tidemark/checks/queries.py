@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from .. import schemas
 from ..functions import dates, safe, text
 from ..operators import clean, joins, match, news, pick, serve, series, split, statements
-from ..plans import gold, silver
+from ..plans import gold, ingest, silver
 from ..session import configure, work_dir
 from ..sources import read, write
 from .inputs import feed, table
@@ -291,6 +292,12 @@ def q_extract_percent(spark, d):
     return rates.groupBy("rate").agg(F.count(F.lit(1)).alias("pages"))
 
 
+@query
+def q_rate_pages(spark, d):
+    """The rate out of the right element of each page; pages without it give no row."""
+    return ingest.rates_of_pages(feed(spark, d, "rate_pages")).select("page_id", "risk_free_rate")
+
+
 # -- joins and fills ------------------------------------------------------------------------------
 
 @query
@@ -520,6 +527,16 @@ def q_entity_match(spark, d):
                             news.DAILY_RESULTS, rank="rank")
 
 
+@query
+def q_news_of_entities(spark, d):
+    """The first pull of all entities: whole texts searched, window, newest of each."""
+    pulled = ingest.news_of_entities(
+        feed(spark, d, "texts"), feed(spark, d, "entities"),
+        datetime.date.fromisoformat(FIRST_RUN_DAY), first=True, suffix=".JK")
+    return pulled.select("ticker", F.col("id").alias("doc_id"), "title",
+                         F.unix_timestamp("publication_date").alias("epoch"))
+
+
 # -- statements -----------------------------------------------------------------------------------
 
 @query
@@ -532,6 +549,13 @@ def q_metrics_pivot(spark, d):
     return statements.pivot_metrics(feed(spark, d, "company_info"))
 
 
+@query
+def q_metric_snapshot(spark, d):
+    """The twelve metrics of each ticker as a weekly run lands them."""
+    return ingest.metric_snapshot(feed(spark, d, "company_info"),
+                                  feed(spark, d, "statement_lines"))
+
+
 @query
 def q_earnings_fallback(spark, d):
     metrics = statements.pivot_metrics(feed(spark, d, "company_info"))

@@ -39,18 +39,19 @@ def latest_market_from_prices(prices: DataFrame, metrics: DataFrame,
 
     risk = recent.groupBy("ticker").agg(
         F.max("date").alias("date"),
-        close_at(1).alias("close"),
         *[F.try_divide(close_at(1) - close_at(1 + n), close_at(1 + n)).alias(name)
           for name, n in series.RETURN_LAGS.items()],
         F.avg("_return").alias("_mean"),
         F.stddev_samp("_return").alias("_stddev"),
         series.tail_value(F.collect_list("_return")).alias("var_95_252d"),
     )
-    joined = series.attach_sparse(prices.select("ticker", "date"), metrics, rates)
-    known = joined.groupBy("ticker").agg(*[
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col("date"))).alias(c)
-        for c in series.FILLED if c in joined.columns
-    ])
+    # The same columns as above, so that both ways share one shuffle of the prices.
+    joined = series.attach_sparse(prices.select("ticker", "date", "close"), metrics, rates)
+    known = joined.groupBy("ticker").agg(
+        F.max_by("close", "date").alias("close"),
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("date"))).alias(c)
+          for c in series.FILLED if c in joined.columns],
+    )
     latest = risk.join(known, on="ticker").withColumn(
         "sharpe_ratio_252d", series.sharpe("_mean", "_stddev", "risk_free_rate"))
     chart_only = {*PRICE_COLUMNS, *SMA_COLUMNS}
