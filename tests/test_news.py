@@ -8,6 +8,7 @@ import pytest
 from conftest import close_to, column, rows
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import words
 from tidemark.operators import match, news
 
 
@@ -122,7 +123,7 @@ def test_retry():
 
 def test_lexicon(spark):
     df = spark.createDataFrame([("Gain, gain; LOSS",), ("again lossy",), (None,)], "t string")
-    got = [r[0] for r in df.select(news.lexicon_score("t", ["gain"], ["loss"])).collect()]
+    got = [r[0] for r in df.select(news.lexicon_score(words("t"), ["gain"], ["loss"])).collect()]
     assert close_to(got[0], 1 / 3) and got[1:] == [0.0, 0.0]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 
 import pytest
 from conftest import close_to, column, day, rows
@@ -126,6 +127,31 @@ def test_metric_text(spark, metric, value, shown):
     assert df.select(display.metric_text("m", "v")).first()[0] == shown
 
 
+def python_text(metric, v):
+    if metric == "ytd_return":
+        return f"{v:.2f}%"
+    if metric == "market_cap":
+        for unit, letter in ((1e12, "T"), (1e9, "B"), (1e6, "M")):
+            if abs(v) >= unit:
+                return f"${v / unit:.2f}{letter}"
+        return f"${v:,.0f}"
+    if metric == "high_52w":
+        return f"${v:,.2f}"
+    return f"{v:,.4f}" if abs(v) < 10 else f"{v:,.2f}"
+
+
+def test_metric_text_equals_python_formats(spark):
+    rnd = random.Random(3)
+    values = [0.125, 0.375, 2.675, 1.005, 0.5, 1.5, 2.5, 999_999.5, 1e6, 1e9, 1e12, 9.99995, 10.0]
+    values += [rnd.uniform(-1, 1) * 10 ** rnd.randint(-3, 14) for _ in range(400)]
+    values += [rnd.randint(-10 ** 6, 10 ** 6) / 8 for _ in range(200)]
+    pairs = [(m, v) for v in values for m in ("ytd_return", "market_cap", "high_52w", "metric_1")]
+    df = spark.createDataFrame(pairs, "m string, v double").withColumn(
+        "t", display.metric_text("m", "v"))
+    wrong = [tuple(r) for r in df.collect() if r["t"] != python_text(r["m"], r["v"])]
+    assert wrong == []
+
+
 @pytest.mark.parametrize("score, label", [
     (0.5, "Bullish (+0.500)"), (-0.25, "Bearish (-0.250)"), (0.0, "Neutral (+0.000)"),
     (None, None)])

@@ -508,9 +508,9 @@ def q_news_attach_dates(spark, d):
 
 @query
 def q_sentiment_label(spark, d):
-    docs = table(spark, d, "documents").select(
-        "doc_id", news.lexicon_score("text", PROSE_POSITIVE, PROSE_NEGATIVE).alias("score"),
-        F.size(text.words("text")).alias("word_count"))
+    docs = table(spark, d, "documents").select("doc_id", text.words("text").alias("words")).select(
+        "doc_id", F.size("words").alias("word_count"),
+        news.lexicon_score("words", PROSE_POSITIVE, PROSE_NEGATIVE).alias("score"))
     return docs.select(
         "doc_id", "word_count", "score",
         serve.sentiment("score").alias("sentiment"),

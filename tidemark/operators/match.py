@@ -29,17 +29,17 @@ def search_terms(entities: DataFrame, key: str = "ticker", name: str = "company_
     )
 
 
-def _says(text: str, phrase: str) -> Column:
-    """Whether the words of a phrase stand in the text, whole and in order."""
-    def padded(c: str) -> Column:
-        return F.concat(F.lit(" "), F.col(c), F.lit(" "))
-    return F.contains(padded(text), padded(phrase))
+def _padded(c: Column) -> Column:
+    """A blank on both sides, so that only whole words are found inside."""
+    return F.concat(F.lit(" "), c, F.lit(" "))
 
 
 def match_entities(texts: DataFrame, terms: DataFrame, text_id: str = "doc_id",
                    text: str = "text", key: str = "ticker",
                    keep: Sequence[str] = (), max_terms: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Pairs (key, text id), and the texts' columns ``keep``, where the whole text contains a phrase of the entity.
+    """Pairs (key, text id) where the whole text contains a phrase of the entity.
+
+    The texts' columns ``keep`` come along.
 
     The distinct words of each text meet the terms by equality with one word of the phrase, the
     anchor, and only such candidates are searched for the phrase: work grows with the texts plus
@@ -47,11 +47,14 @@ def match_entities(texts: DataFrame, terms: DataFrame, text_id: str = "doc_id",
     scan and only matches are shuffled. With a long list words and terms are shuffled without the
     texts, Spark splits frequent words, and the texts come back by their id for the search.
     """
-    spoken = texts.select(text_id, *keep, spaced_words(text).alias("_text"))
+    spoken = texts.select(text_id, *keep, _padded(spaced_words(text)).alias("_text"))
     word = F.explode(F.array_distinct(word_array("_text"))).alias("anchor")
     if is_small(terms, max_terms):
-        candidates = spoken.select(text_id, *keep, "_text", word).join(F.broadcast(terms), on="anchor")
+        candidates = spoken.select(text_id, *keep, "_text", word).join(
+            F.broadcast(terms), on="anchor")
     else:
         candidates = (
             spoken.select(text_id, word).join(terms, on="anchor").join(spoken, on=text_id))
-    return candidates.filter(_says("_text", "phrase")).select(key, text_id, *keep).distinct()
+    # A phrase of one word is its own anchor and needs no search.
+    said = (F.col("phrase") == F.col("anchor")) | F.contains("_text", _padded(F.col("phrase")))
+    return candidates.filter(said).select(key, text_id, *keep).distinct()

@@ -152,20 +152,28 @@ def scored_news(news: DataFrame, make_scorer: Callable[[], Scorer] | None) -> Da
     )
 
 
-def lexicon_score(text: Column | str, positive: Sequence[str],
+def lexicon_score(word_list: Column | str, positive: Sequence[str],
                   negative: Sequence[str]) -> Column:
-    """(positive - negative) / (positive + negative) words of the whole text, 0 without any."""
-    found = words(text)
-    p, n = count_words(found, positive), count_words(found, negative)
-    return F.coalesce(F.try_divide((p - n).cast("double"), (p + n).cast("double")), F.lit(0.0))
+    """(positive - negative) / (positive + negative) words, 0 without any.
+
+    The words of either list are picked out once and bound to a variable by the outer transform;
+    a plain expression would pick them out again wherever it names them.
+    """
+    listed = F.filter(word_list, lambda w: w.isin(*positive, *negative))
+
+    def score(found: Column) -> Column:
+        p, n = count_words(found, positive), count_words(found, negative)
+        return F.try_divide((p - n).cast("double"), (p + n).cast("double"))
+
+    return F.coalesce(F.get(F.transform(F.array(listed), score), F.lit(0)), F.lit(0.0))
 
 
 def lexicon_news(news: DataFrame, positive: Sequence[str], negative: Sequence[str],
                  k: int = PICKED) -> DataFrame:
     """Picked and scored by word lists, all in SQL: strongest scores of the newest items."""
     shown = newest_news(news, SHOWN).withColumn(
-        "sentiment_score", lexicon_score(F.concat_ws(" ", "title", "summary"),
-                                         positive, negative))
+        "sentiment_score",
+        lexicon_score(words(F.concat_ws(" ", "title", "summary")), positive, negative))
     order = [F.abs("sentiment_score").desc(), *newest_first()]
     return top_per_key(shown, "ticker", order, k).select(
         "ticker", "title", "sentiment_score", "summary",
