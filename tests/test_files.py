@@ -44,7 +44,7 @@ def zones(tmp_path):
          "ev_ebitda": float("nan"), "market_cap": None}))
     put(b, "risk_free_rate/year=2026/month=01/day=02/risk_free_rate.json",
         json.dumps({"risk_free_rate": 0.0671}))
-    put(b, "news_data/ticker=0700/year=2026/month=01/day=02/gnews.json", json.dumps(
+    put(b, "news_data/ticker=0700/year=2026/month=01/day=02/news.json", json.dumps(
         [{"title": f"t{i}", "summary": "s", "publication_date":
           f"Thu, {i + 1:02d} Jan 2026 07:00:00 GMT"} for i in range(5)]
         + [{"title": "undated", "summary": "s", "publication_date": None}]))

@@ -128,9 +128,9 @@ def test_lexicon(spark):
 
 
 TEXTS = [
-    (1, "Shares of PT Bank Central Asia (Tbk) rose"), (2, "BBCA up 2%"), (3, "bbcaX and XBBCA"),
-    (4, "Bank of Central Asia"), (5, "PT  BANK central-asia TBK; bbca"), (6, ""), (7, None),
-    (8, "the end: PT Bank Central Asia Tbk"),
+    (1, "Shares of PT Bank Utama Raya (Tbk) rose"), (2, "ABCD up 2%"), (3, "abcdX and XABCD"),
+    (4, "Bank of Utama Raya"), (5, "PT  BANK utama-raya TBK; abcd"), (6, ""), (7, None),
+    (8, "the end: PT Bank Utama Raya Tbk"),
 ]
 
 
@@ -139,11 +139,11 @@ def test_entities_match_whole_words_on_both_paths(spark, limit):
     """With limit 0 the list counts as long and takes the shuffled way."""
     texts = spark.createDataFrame(TEXTS, "doc_id long, text string")
     companies = spark.createDataFrame(
-        [("BBCA.JK", "PT Bank Central Asia Tbk"), ("ZZZZ.JK", "Nobody"), ("..", "")],
+        [("ABCD.ID", "PT Bank Utama Raya Tbk"), ("ZZZZ.ID", "Nobody"), ("..", "")],
         "ticker string, company_name string")
-    terms = match.search_terms(companies, suffix=".JK")
+    terms = match.search_terms(companies, suffix=".ID")
     got = match.match_entities(texts, terms, max_terms=limit)
-    assert rows(got) == [("BBCA.JK", n) for n in (1, 2, 5, 8)]
+    assert rows(got) == [("ABCD.ID", n) for n in (1, 2, 5, 8)]
 
 
 def test_entity_paths_agree_with_a_frequent_word(spark):

@@ -130,7 +130,7 @@ FEEDS = {
     """,
     # Searched companies: a phrase of each benchmark passage as name, a word as code.
     "entities": """
-        select distinct concat(w4, '.JK') as ticker, concat(w1, ' ', w2, ' ', w3)
+        select distinct concat(w4, '.ID') as ticker, concat(w1, ' ', w2, ' ', w3)
                as company_name
         from (select {word_1} as w1, {word_2} as w2, {word_3} as w3, {word_4} as w4
               from {benchmark}) g

@@ -262,7 +262,7 @@ _NEWS_COLUMNS = "ticker, title, sentiment_score, summary, news_date"
 _TERMS = r"""(select distinct ticker,
     trim(regexp_replace(lower(term), '[^\p{L}\p{N}]+', ' ', 'g')) as phrase
     from (select ticker, company_name as term from entities
-          union all select ticker, replace(ticker, '.JK', '') from entities) a)"""
+          union all select ticker, replace(ticker, '.ID', '') from entities) a)"""
 
 ORACLES: dict[str, str] = {
     "scan_json_schema": sql("select * from profiles_raw", "profiles_raw"),

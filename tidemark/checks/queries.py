@@ -23,7 +23,7 @@ POSITIVE, NEGATIVE = ("purchase", "signup"), ("error",)
 PROSE_POSITIVE, PROSE_NEGATIVE = ("the", "la", "der", "el"), ("of", "de", "und", "que")
 RUN_DAY, FIRST_RUN_DAY = "2024-01-15", "2024-01-20"
 CHART_TICKER = "7"
-WANTED = ("1", "2", "3", "7", "42", "NONE.JK")
+WANTED = ("1", "2", "3", "7", "42", "NONE.ID")
 
 
 def query(fn: Query) -> Query:
@@ -521,7 +521,7 @@ def q_sentiment_label(spark, d):
 def q_entity_match(spark, d):
     """Documents that mention an entity, the longest ones of each."""
     docs = table(spark, d, "documents")
-    terms = match.search_terms(feed(spark, d, "entities"), suffix=".JK")
+    terms = match.search_terms(feed(spark, d, "entities"), suffix=".ID")
     pairs = match.match_entities(docs, terms, keep=["n_chars"])
     return pick.top_per_key(pairs, "ticker", [F.col("n_chars").desc(), F.col("doc_id")],
                             news.DAILY_RESULTS, rank="rank")
@@ -532,7 +532,7 @@ def q_news_of_entities(spark, d):
     """The first pull of all entities: whole texts searched, window, newest of each."""
     pulled = ingest.news_of_entities(
         feed(spark, d, "texts"), feed(spark, d, "entities"),
-        datetime.date.fromisoformat(FIRST_RUN_DAY), first=True, suffix=".JK")
+        datetime.date.fromisoformat(FIRST_RUN_DAY), first=True, suffix=".ID")
     return pulled.select("ticker", F.col("id").alias("doc_id"), "title",
                          F.unix_timestamp("publication_date").alias("epoch"))
 
