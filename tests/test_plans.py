@@ -45,8 +45,9 @@ def test_rank_limit_of_news(spark, sf_dir):
 
 
 def test_measures_share_one_shuffle_and_one_sort(px):
-    df = series.periodic_returns(series.moving_averages(px))
-    assert count(df, "Exchange") == 1 and count(df, "Sort") == 1 and count(df, "Window") == 1
+    returned = series.periodic_returns(series.moving_averages(px))
+    for df in (returned, series.risk_measures(returned.withColumn("risk_free_rate", F.lit(0.05)))):
+        assert count(df, "Exchange") == 1 and count(df, "Sort") == 1
 
 
 def test_fact_shuffles_prices_by_ticker_once(spark, px, sf_dir):

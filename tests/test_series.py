@@ -6,7 +6,7 @@ import math
 import random
 
 import pytest
-from conftest import close_to, day, rows
+from conftest import close_to, column, day, rows
 from pyspark.sql import Window, functions as F
 
 from tidemark.operators import series, split
@@ -86,6 +86,44 @@ def test_measures_equal_plain_python(walk):
             assert close_to(var, sorted(window)[rank - 1])
 
 
+@pytest.mark.parametrize("n, tail", [(252, 0.05), (10, 0.5), (128, 0.01), (131, 0.05), (1, 0.05)])
+def test_blocks_equal_literal_frames(walk, n, tail):
+    """Frames cut into blocks, into one, and of prime length."""
+    df = series.periodic_returns(walk, {"1d_return": 1})
+    w = Window.partitionBy("ticker").orderBy("date").rowsBetween(1 - n, 0)
+    literal = df.select(
+        "ticker", "date", F.avg("1d_return").over(w).alias("m"),
+        F.stddev_samp("1d_return").over(w).alias("s"),
+        series.tail_value(F.collect_list("1d_return").over(w), tail).alias("v"))
+    blocks = series.value_at_risk(series.rolling_moments(df, rows=n), rows=n, tail=tail, name="v")
+    got = rows(blocks.select("ticker", "date", "mean_1d_return", "stddev_1d_return", "v"),
+               "ticker", "date")
+    for a, b in zip(got, rows(literal, "ticker", "date"), strict=True):
+        assert a[:2] == b[:2] and a[4] == b[4]
+        assert close_to(a[2], b[2]) and close_to(a[3], b[3])
+
+
+def test_averages_skip_missing_closes(walk):
+    holes = walk.withColumn("close", F.when(F.dayofmonth("date") % 3 != 0, F.col("close")))
+    w = Window.partitionBy("ticker").orderBy("date")
+    literal = holes.withColumns({
+        f"sma_{n}": F.avg("close").over(w.rowsBetween(1 - n, 0)) for n in series.SMA_ROWS})
+    assert rows(series.moving_averages(holes).select(literal.columns)) == rows(literal)
+
+
+@pytest.mark.parametrize("after", ["price * 0 + 64", "price * 0 + pow(2, n)"])
+def test_no_deviation_means_no_sharpe_ratio(spark, after):
+    """A wild series that goes flat, or that grows by the same factor: exactly zero deviation."""
+    df = spark.range(700).select(
+        F.lit("A").alias("ticker"), F.date_add(F.lit(day(0)), F.col("id").cast("int")).alias("date"),
+        F.lit(0.05).alias("risk_free_rate"), (F.col("id") - 300).alias("n"),
+        (F.lit(50.0) + F.col("id") * 7919 % 101 / 3).alias("price"),
+    ).withColumn("close", F.when(F.col("n") < 0, F.col("price")).otherwise(F.expr(after)))
+    got = column(series.risk_measures(series.periodic_returns(df, {"1d_return": 1})),
+                 "sharpe_ratio_252d", "date")
+    assert None not in got[2:552] and set(got[553:]) == {None}
+
+
 @pytest.mark.parametrize("days, length", [(50, 7), (200, 300), (100_000, 100_000)])
 def test_split_measures_equal_whole_ones(walk, days, length):
     def measure(df, key="ticker", order="date"):

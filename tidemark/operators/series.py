@@ -13,6 +13,8 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -98,11 +100,40 @@ def enrich_series(prices: DataFrame, metrics: DataFrame, rates: DataFrame,
     return fill(joined, [c for c in FILLED if c in joined.columns], backfill=backfill)
 
 
+def _bases(rows: Sequence[int]) -> dict[int, int]:
+    """For each frame length the longest shorter one it is a multiple of, or itself."""
+    bases: dict[int, int] = {}
+    for n in sorted(rows):
+        own = [b for b in bases if bases[b] == b]
+        bases[n] = max((b for b in own if n % b == 0), default=n)
+    return bases
+
+
 def moving_averages(df: DataFrame, rows: Sequence[int] = SMA_ROWS, value: str = "close",
                     key: Keys = "ticker", order: str = "date") -> DataFrame:
-    return df.withColumns({
-        f"sma_{n}": F.avg(value).over(_last_rows(key, order, n)) for n in rows
-    })
+    """Averages over the last rows.
+
+    A frame costs a row its length, so a long frame is put together from earlier rows' shorter
+    ones: 200 rows are the sums of four times 50. Sums are only added, never subtracted.
+    """
+    w = _series(key, order)
+    bases = _bases(rows)
+    sums = {}
+    for base in sorted(set(bases.values())):
+        frame = _last_rows(key, order, base)
+        sums |= {f"_sum_{base}": F.sum(value).over(frame),
+                 f"_count_{base}": F.count(value).over(frame)}
+
+    def total(part: str, n: int) -> Column:
+        base = bases[n]
+        name = f"_{part}_{base}"
+        earlier = [F.coalesce(F.lag(name, i * base).over(w), F.lit(0))
+                   for i in range(1, n // base)]
+        return reduce(add, earlier, F.coalesce(name, F.lit(0)))
+
+    return df.withColumns(sums).withColumns({
+        f"sma_{n}": F.try_divide(total("sum", n), total("count", n)) for n in rows
+    }).drop(*sums)
 
 
 def periodic_returns(df: DataFrame, lags: Mapping[str, int] = RETURN_LAGS, value: str = "close",
@@ -118,13 +149,77 @@ def periodic_returns(df: DataFrame, lags: Mapping[str, int] = RETURN_LAGS, value
     }).drop(*[f"_{name}" for name in lags])
 
 
+def _block_count(rows: int, longest: int = 64, most: int = 16) -> int:
+    """Into how many equal blocks a frame is cut: the fewest that are not long, else one."""
+    return next((n for n in range(1, most + 1) if rows % n == 0 and rows // n <= longest), 1)
+
+
+def _merged_moments(df: DataFrame, blocks: Sequence[int]) -> DataFrame:
+    """Count, mean and squared deviations of all blocks, into those of the newest.
+
+    Merging by the difference of the means loses no digits, and a constant series keeps a
+    deviation of exactly zero.
+    """
+    for i in blocks:
+        n, m, s = (F.col(c) for c in ("_n", "_m", "_s"))
+        n_i, m_i, s_i = (F.col(f"{c}{i}") for c in ("_n", "_m", "_s"))
+        share = F.coalesce(F.try_divide(n_i, n + n_i), F.lit(0.0))
+        df = df.withColumns({
+            "_n": n + n_i,
+            "_m": m + (m_i - m) * share,
+            "_s": s + s_i + (m_i - m) * (m_i - m) * n * share,
+        })
+    return df
+
+
+def _block_measures(df: DataFrame, value: str, rows: int, key: Keys, order: str,
+                    mean: str | None = None, stddev: str | None = None,
+                    var: str | None = None, tail: float = VAR_TAIL) -> DataFrame:
+    """Mean and sample deviation, and lower quantile, over the last rows.
+
+    The frame is cut into equal blocks. Each row aggregates the block that ends with it, a
+    fraction of the frame, and looks up the blocks that end at fixed rows before it. Of a block's
+    values only as many of the least are handed on as the quantile's rank can reach.
+    """
+    count = _block_count(rows)
+    length = rows // count
+    frame, w = _last_rows(key, order, length), _series(key, order)
+    before = range(1, count)
+    own = {"_n": F.count(value).over(frame)}
+    if mean:
+        own |= {"_m": F.avg(value).over(frame), "_s": F.var_pop(value).over(frame)}
+    if var:
+        own["_least"] = F.collect_list(value).over(frame)
+    df = df.withColumns(own)
+    kept: dict[str, Column] = {"_n": F.col("_n").cast("double")}
+    none: dict[str, Column] = {"_n": F.lit(0.0)}
+    if mean:
+        kept |= {"_m": F.coalesce("_m", F.lit(0.0)),
+                 "_s": F.coalesce(F.col("_s") * F.col("_n"), F.lit(0.0))}
+        none |= {"_m": F.lit(0.0), "_s": F.lit(0.0)}
+    if var:
+        most = max(1, math.ceil(rows * Decimal(str(tail))))
+        kept["_least"] = F.slice(F.sort_array("_least"), 1, most)
+        none["_least"] = F.array().cast("array<double>")
+    df = df.withColumns(kept)
+    earlier = {f"{c}{i}": F.coalesce(F.lag(c, i * length).over(w), none[c])
+               for c in kept for i in before}
+    df = df.withColumns(earlier)
+    if var:
+        known = reduce(add, [F.col(f"_n{i}") for i in before], F.col("_n")).cast("int")
+        least = F.sort_array(F.concat("_least", *[f"_least{i}" for i in before]))
+        df = df.withColumn(var, F.try_element_at(least, _tail_rank(known, tail)))
+    if mean:
+        df = _merged_moments(df, before).withColumns({
+            mean: F.when(F.col("_n") > 0, F.col("_m")),
+            stddev: F.when(F.col("_n") > 1, F.sqrt(F.col("_s") / (F.col("_n") - 1))),
+        })
+    return df.drop(*kept, *earlier)
+
+
 def rolling_moments(df: DataFrame, value: str = "1d_return", rows: int = TRADING_DAYS,
                     key: Keys = "ticker", order: str = "date") -> DataFrame:
-    w = _last_rows(key, order, rows)
-    return df.withColumns({
-        f"mean_{value}": F.avg(value).over(w),
-        f"stddev_{value}": F.stddev_samp(value).over(w),
-    })
+    return _block_measures(df, value, rows, key, order, f"mean_{value}", f"stddev_{value}")
 
 
 def sharpe(mean: Column | str, stddev: Column | str, rate: Column | str,
@@ -135,45 +230,33 @@ def sharpe(mean: Column | str, stddev: Column | str, rate: Column | str,
     return F.when(s > 0, (m - daily_rate) / s * F.lit(math.sqrt(rows)))
 
 
+def _tail_rank(count: Column, tail: float) -> Column:
+    """Nearest rank. As a decimal the product is exact: a whole number stays one under ceil."""
+    return F.greatest(F.ceil(count * F.lit(Decimal(str(tail)))).cast("int"), F.lit(1))
+
+
 def tail_value(values: Column, tail: float = VAR_TAIL) -> Column:
     """Nearest-rank lower quantile of an array, null for an empty one.
 
     ``sort_array`` sorts primitives; ``array_sort`` calls a comparator and took 2.5 times as long.
     """
-    # As a decimal the product is exact, and a whole number stays one under ceil.
-    share = F.lit(Decimal(str(tail)))
-    rank = F.greatest(F.ceil(F.size(values) * share).cast("int"), F.lit(1))
-    return F.try_element_at(F.sort_array(values), rank)
+    return F.try_element_at(F.sort_array(values), _tail_rank(F.size(values), tail))
 
 
 def value_at_risk(df: DataFrame, value: str = "1d_return", rows: int = TRADING_DAYS,
                   tail: float = VAR_TAIL, key: Keys = "ticker", order: str = "date",
                   name: str = "var_95_252d") -> DataFrame:
-    """Historical value at risk, sign kept: a loss is negative. At most ``rows`` values held."""
-    window_values = F.collect_list(value).over(_last_rows(key, order, rows))
-    return (
-        df.withColumn("_values", window_values)
-        .withColumn(name, tail_value(F.col("_values"), tail))
-        .drop("_values")
-    )
+    """Historical value at risk, sign kept: a loss is negative."""
+    return _block_measures(df, value, rows, key, order, var=name, tail=tail)
 
 
 def risk_measures(df: DataFrame, key: Keys = "ticker", order: str = "date") -> DataFrame:
-    """Sharpe ratio and value at risk out of one pass over the risk window."""
-    w = _last_rows(key, order, TRADING_DAYS)
-    r = "1d_return"
-    return (
-        df.withColumns({
-            "_mean": F.avg(r).over(w),
-            "_stddev": F.stddev_samp(r).over(w),
-            "_values": F.collect_list(r).over(w),
-        })
-        .withColumns({
-            "sharpe_ratio_252d": sharpe("_mean", "_stddev", "risk_free_rate"),
-            "var_95_252d": tail_value(F.col("_values")),
-        })
-        .drop("_mean", "_stddev", "_values")
-    )
+    """Sharpe ratio and value at risk of the daily returns, in one pass over their blocks."""
+    measured = _block_measures(df, "1d_return", TRADING_DAYS, key, order, "_mean", "_stddev",
+                               "var_95_252d")
+    return measured.withColumn(
+        "sharpe_ratio_252d", sharpe("_mean", "_stddev", "risk_free_rate")
+    ).drop("_mean", "_stddev")
 
 
 def valuation_ratios(df: DataFrame) -> DataFrame:
