@@ -34,7 +34,9 @@ def _sorted(columns, data):
 
 
 def test_every_query_has_a_twin():
-    assert set(driver.queries()) == set(driver.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
