@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, simhash
+from . import exact_dedup, simhash, substring
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,15 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(documents(spark, sf_dir), width=3, radius=2)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
