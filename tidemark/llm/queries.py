@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, simhash, substring
+from . import bpe, exact_dedup, packing, simhash, substring
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir)).drop("ids")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
@@ -25,10 +29,16 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir))))
+
+
 QUERIES: dict[str, Query] = {
+    "op4_packing": op4_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
