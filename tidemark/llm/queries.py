@@ -6,12 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, packing, simhash, substring
+from . import bpe, exact_dedup, packing, simhash, substring, topk, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+def of_id(modulus: int):
+    """crc32 of the id as text, by which contracts part learning from held-out rows."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.learn(docs, labels.filter(of_id(5) != 0))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", (of_id(5) == 0).alias("held_out"),
+                         F.col("toxicity").alias("score"),
+                         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).drop("ids")
 
@@ -34,6 +57,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_topk_search": op1_topk_search,
+    "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
@@ -42,6 +67,20 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_topk_search": """
+        WITH good AS (
+            SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(
+                [x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+            FROM good q JOIN good c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op7_exact_dedup": """
         WITH norm AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
