@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, packing, simhash, substring, topk, toxicity
+from . import bpe, exact_dedup, ngram_lm, packing, simhash, substring, topk, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def of_id(modulus: int):
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(documents(spark, sf_dir), of_id(10) == 0)
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.learn(docs, labels.filter(of_id(5) != 0))
@@ -58,6 +62,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_topk_search": op1_topk_search,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op7_exact_dedup": op7_exact_dedup,
