@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, ngram_lm, packing, simhash, substring, topk, toxicity
-from .common import documents
+from ..session import work_dir
+from . import (
+    bpe, exact_dedup, license_scan, ngram_lm, packing, simhash, substring, token_rollup, topk, toxicity,
+)
+from .common import documents, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +46,29 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).drop("ids")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return license_scan.license_report(docs, license_scan.train(docs))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after loads with provisional counts, a revision, a takedown and two retries."""
+    docs = documents(spark, sf_dir)
+    path = work_dir(spark, "token-totals")
+    rows = stored(token_rollup.counted(docs, {
+        "words-1": token_rollup.word_count(F.col("text")),
+        "bytes-1": token_rollup.byte_count(F.col("text"))}, keep=("n_chars",)), "token-counts")
+    bad = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 0").select("doc_id")
+    loads = {f"load-{n}": token_rollup.inserts(rows.filter(of_id(4) == n), "n_chars")
+             for n in range(4)}
+    later = {"revision": token_rollup.revisions(rows, "n_chars"),
+             "takedown": token_rollup.deletes(rows.join(bad, "doc_id", "left_semi"))}
+    batches = loads | later
+    for name in (*batches, "load-2", "revision"):
+        token_rollup.commit(batches[name], path, name)
+    return token_rollup.totals(spark, path)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
@@ -65,6 +91,8 @@ QUERIES: dict[str, Query] = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
+    "op5_license_scan": op5_license_scan,
+    "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
     "op9_substring_dedup": op9_substring_dedup,
@@ -86,6 +114,16 @@ ORACLES: dict[str, str] = {
             SELECT *, CAST(row_number() OVER (
                 PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op6_token_counts": """
+        WITH live AS (
+            SELECT source, lang, coalesce(text, '') AS t FROM documents
+            WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)),
+        counted AS (
+            SELECT source, lang, 'words-1' AS tokenizer,
+                   len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS n FROM live
+            UNION ALL SELECT source, lang, 'bytes-1', strlen(t) FROM live)
+        SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
+        FROM counted GROUP BY ALL""",
     "op7_exact_dedup": """
         WITH norm AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

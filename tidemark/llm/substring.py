@@ -309,3 +309,18 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     for name, kind in zip(made, ("string", "long", "long")):
         schema = schema.add(name, kind)
     return joined.mapInArrow(run, schema)
+
+
+def without_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
+                    text: str = "text", length: str = "n_chars") -> DataFrame:
+    """The same rows and columns; texts that lose words become what is left of them, and their
+    ``length``, where there is such a column, the number of its characters."""
+    made = ("kept_text", "n_words", "n_removed")
+    own = {c: f"__own_{c}" for c in made if c in docs.columns}
+    done = remove_repeats(docs.withColumnsRenamed(own), width, id_col, text)
+    cut = F.col("n_removed") > 0
+    done = done.withColumn(text, F.when(cut, F.col("kept_text")).otherwise(F.col(text)))
+    if length in docs.columns:
+        kind = docs.schema[length].dataType
+        done = done.withColumn(length, F.when(cut, F.char_length(text).cast(kind)).otherwise(F.col(length)))
+    return done.drop(*made).withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
