@@ -20,9 +20,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .common import blocks
+from .common import blocks, small_batches
 from .segments import SegmentCache
 
+BLOCK = 2 << 20  # bytes of text whose words are replayed together
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -134,7 +135,7 @@ def encoder(path: str, pattern: str) -> SegmentCache:
         ids = {w: np.array(i, "<u4").tobytes() for w, i in zip(pool, merges.replay(pool))}
         return [b"".join(map(ids.__getitem__, ws)) for ws in words]
 
-    return SegmentCache(encode)
+    return SegmentCache(encode, together=1 << 20)
 
 
 def encode(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN,
@@ -143,8 +144,9 @@ def encode(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.
 
     Null and empty texts have no ids. Special tokens are ordinary text. One row per row.
     """
+    small_batches(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches, "_text"):
+        for part in blocks(batches, "_text", BLOCK):
             texts = ["" if t is None else t for t in part.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("_doc"), pa.array(encoder(path, pattern).ids(texts), pa.binary())],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,21 +13,47 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import work_dir
 
-BLOCK_BYTES = 8 << 20  # text that a Python task holds with its arrays at a time
+BLOCK_BYTES = 4 << 20  # text that a Python task holds with its arrays at a time
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows reach Python tasks in batches of bounded bytes; texts may be long, and rows of packed
+    numbers are wide. Smaller limits that the session has already stay."""
+    records = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(records)) <= 1000:
+        spark.conf.set(records, "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text",
            limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about ``limit`` bytes of text; a longer text is one alone."""
+    """The rows in blocks of at most ``limit`` bytes of text; a longer text is one alone."""
+    held, size = [], 0
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes.astype(np.int64))
         start = 0
         while start < batch.num_rows:
-            before = ends[start - 1] if start else 0
-            stop = max(int(np.searchsorted(ends, before + limit, side="right")), start + 1)
-            yield batch.slice(start, stop - start)
+            before = int(ends[start - 1]) if start else 0
+            stop = int(np.searchsorted(ends, before + limit - size, side="right"))
+            if stop <= start and held:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+                continue
+            stop = max(stop, start + 1)
+            held.append(batch.slice(start, stop - start))
+            size += int(ends[stop - 1]) - before
             start = stop
+    if held:
+        yield pa.concat_batches(held)
+    release()
+
+
+def release() -> None:
+    """Give freed memory back: workers live on, and share their machine with other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
@@ -48,4 +76,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -27,14 +27,14 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import as_bytes, blocks, stored
+from .common import as_bytes, blocks, small_batches, stored
 from .elias_fano import EliasFano
 
 ADD = 0.1
 STRENGTH = 2.0  # k: how many tokens the unigrams weigh in a context
 FREQUENT = 256
 SHARD_BYTES = 8 << 20  # of text per shard, about
-TEXT_BLOCK = 12 << 20
+TEXT_BLOCK = 6 << 20  # bytes of text in a block
 BEGIN, END = (np.uint64(xxhash.xxh3_64_intdigest(t)) for t in (b"\n<s>", b"\n</s>"))
 # codes 1 to 255 of log10 of a share, 0 for none
 _CODES, _LEAST = 255, -9.0
@@ -334,6 +334,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str =
     hashes. Repeated rows count as often as they stand. Without training rows c, N and V are 0.
     Ids are whole numbers.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("bigint").alias("_doc"),
                          F.coalesce(held_out, F.lit(True)).alias("_held"),
                          F.col(text).cast("string").alias("_text"))

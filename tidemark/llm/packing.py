@@ -22,12 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from .common import blocks
+from .common import blocks, small_batches
 from .segments import SegmentCache
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 0
 CAPACITY = 1024
+BLOCK = 1 << 20  # bytes of text encoded together
 WHOLE_FROM = 16  # pieces of this class and above are not cut further
 
 Piece = tuple[object, int, bytes, int]  # document id, start, ids, tokens of the document
@@ -110,11 +111,12 @@ def pack(docs: DataFrame, path: str = TOKENIZER, end: int = END, capacity: int =
     the partition's number times 2^40 and more, so workers need no common counter. Repeated rows
     are packed each. An empty table gives no pieces.
     """
+    small_batches(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, special = encoder(path)
         packer = Packer(capacity, TaskContext.get().partitionId() << 40)
         last = np.array([end], "<u4").tobytes()
-        for part in blocks(batches, "_text"):
+        for part in blocks(batches, "_text", BLOCK):
             texts = ["" if t is None else t for t in part.column("_text").to_pylist()]
             coded = cache.ids(texts, lambda t: any(s in t for s in special))
             yield batch([p for doc, ids in zip(part.column("_doc").to_pylist(), coded)

@@ -11,10 +11,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-CACHED = 250_000  # segments that a Python worker keeps
+CACHED = 100_000  # segments that a Python worker keeps
 
 _UNSAFE = re.compile(r" (?:\s|\Z)|\s ")
 
+TOGETHER = 4_000  # new segments that are encoded at a time
+
 # ids of texts, each as little-endian unsigned 32-bit numbers
 EncodeMany = Callable[[list[str]], list[bytes]]
 
@@ -29,8 +31,9 @@ def segments(text: str) -> list[str]:
 class SegmentCache:
     """Encodes texts by their segments; what is new in a block of texts is encoded together."""
 
-    def __init__(self, encode: EncodeMany, limit: int = CACHED):
-        self.encode, self.limit, self.known = encode, limit, {}
+    def __init__(self, encode: EncodeMany, limit: int = CACHED, together: int = TOGETHER):
+        self.encode, self.limit, self.together = encode, limit, together
+        self.known: dict[str, bytes] = {}
 
     def ids(self, texts: Iterable[str], whole: Callable[[str], bool] = lambda t: False) -> list[bytes]:
         """Ids of each text; texts that are ``whole`` are one segment."""
@@ -38,8 +41,9 @@ class SegmentCache:
         known = self.known
         fresh = list({s for parts in parted for s in parts if s not in known})
         alone = {p[0] for p in parted if len(p) == 1}
-        new = dict(zip(fresh, self.encode(fresh))) if fresh else {}
-        known.update(new)
+        for i in range(0, len(fresh), self.together):
+            part = fresh[i:i + self.together]
+            known.update(zip(part, self.encode(part)))
         out = [b"".join(map(known.__getitem__, parts)) for parts in parted]
         for s in alone:  # whole texts are not kept
             known.pop(s, None)

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import as_bytes, blocks, stored
+from .common import as_bytes, blocks, small_batches, stored
 
 BITS = 64
 SEED = 42
@@ -57,6 +57,7 @@ def fingerprint(text: bytes, width: int) -> int:
 def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """(id, fp): the fingerprint of each row's whole text as a signed 64-bit number."""
+    small_batches(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, "_text"):
             values = [fingerprint(t, width) for t in as_bytes(part.column("_text"))]

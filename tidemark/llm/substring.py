@@ -22,14 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, blocks, stored
+from .common import as_bytes, blocks, small_batches, stored
 
 WIDTH = 13
 ROWS = 2  # of the sketch
 MAX_BITS = 28  # at most 2^28 cells a row
 SLICE_BITS = 22  # cells of a row that one task merges at a time
-BLOCK = 4 << 20  # bytes of text
-SHARD_BYTES = 8 << 20  # text whose windows one group of the second pass holds, about
+BLOCK = 2 << 20  # bytes of text whose windows are held together
+SHARD_BYTES = 4 << 20  # text whose windows one group of the second pass holds, about
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
@@ -180,6 +180,7 @@ def repeated_windows(texts: DataFrame, width: int = WIDTH, max_bits: int = MAX_B
 
     ``texts`` has _doc (a number), _content (a hash of the text) and _text.
     """
+    small_batches(texts.sparkSession)
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     bits = int(min(max(math.ceil(math.log2(size / 3 + 1)), 10), max_bits))
     shards = max(8, math.ceil(size / SHARD_BYTES))

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import blocks
+from .common import blocks, small_batches, stored
 
 SAMPLE = 20_000  # labelled texts the model is learned from, at most
 LEXICON = 5_000  # entries, at most
@@ -163,6 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
     texts that share their smallest shingle hash one is used. Without both labels the lexicon is
     empty and every score close to 0.
     """
+    small_batches(docs.sparkSession)
     drawn = (labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
              .orderBy(F.xxhash64("_id"), "_id").limit(sample))
@@ -180,19 +181,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
     told = (told.mapInArrow(folded, "_label int, _text string, _key bigint")
             .groupBy("_key").agg(F.max(F.struct("_label", "_text")).alias("_one"))
             .select("_one._label", "_one._text"))
-    told = told.cache()
-    try:
-        sizes = {r["_label"]: r["count"] for r in told.groupBy("_label").count().collect()}
-        if not sizes.get(0) or not sizes.get(1):
-            return Model()
-        return _learned(told, sizes, exceptions)
-    finally:
-        told.unpersist()
+    told = stored(told, "labelled-texts")
+    sizes = {r["_label"]: r["count"] for r in told.groupBy("_label").count().collect()}
+    if not sizes.get(0) or not sizes.get(1):
+        return Model()
+    return _learned(told, sizes, exceptions)
 
 
 def _learned(told: DataFrame, sizes: dict[int, int], exceptions: Sequence[str]) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches, "_text"):
+        for part in blocks(batches, "_text", 1 << 20):
             toxic, clean = Counter(), Counter()
             for y, t in zip(part.column("_label").to_pylist(), part.column("_text").to_pylist()):
                 (toxic if y else clean).update(_entries(t))
@@ -277,6 +275,7 @@ def score(docs: DataFrame, model: Model, text: str = "text",
 
     From 0 to 1; null, empty and wordless texts have the score of no match.
     """
+    small_batches(docs.sparkSession)
     carried = [c for c in docs.columns if c != name]
     shared = docs.sparkSession.sparkContext.broadcast(model.key())  # bounded by LEXICON
 
