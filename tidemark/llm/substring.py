@@ -26,6 +26,7 @@ from .common import as_bytes, blocks, small_batches, stored
 
 WIDTH = 13
 ROWS = 2  # of the sketch
+RUN = 4  # words of the runs that decide a window's group
 MAX_BITS = 28  # at most 2^28 cells a row
 SLICE_BITS = 22  # cells of a row that one task merges at a time
 BLOCK = 2 << 20  # bytes of text whose windows are held together
@@ -51,15 +52,19 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, second hash, index of the text, word position) of every window of every text."""
+def windows(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
+    """(hash, second hash, home, index of the text, word position) of every window of every text.
+
+    The home is the smallest hash of the window's runs of ``RUN`` words, so that neighbours mostly
+    share it: it decides which group a window goes to, and a text's windows reach few groups.
+    """
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     inside = ~_BLANK[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], inside)).view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
     if len(starts) < width:
         none = np.zeros(0, np.uint64)
-        return none, none, none.astype(np.int64), none.astype(np.int64)
+        return none, none, none, none.astype(np.int64), none.astype(np.int64)
     # Words by polynomials from prefix sums: of the difference of two sums, moved to the origin.
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data + np.uint64(1)) * _powers(_BASES[0], len(data)), out=sums[1:])
@@ -78,8 +83,16 @@ def windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.
         for i in range(width):
             total = total * base + mixed[i:n + i]
         hashes.append(_mix(total[whole], lane + 11))
+    run = min(RUN, width)
+    runs = np.zeros(len(words) - run + 1, np.uint64)
+    for i in range(run):
+        runs = runs * _BASES[1] + words[i:len(runs) + i]
+    runs = _mix(runs, 21)
+    home = runs[:n].copy()
+    for i in range(1, width - run + 1):
+        np.minimum(home, runs[i:n + i], out=home)
     owner = owner[whole]
-    return hashes[0], hashes[1], owner, whole - first[owner]
+    return hashes[0], hashes[1], home[whole], owner, whole - first[owner]
 
 
 def _cells(hashes: list[np.ndarray], bits: int) -> list[np.ndarray]:
@@ -190,12 +203,12 @@ def repeated_windows(texts: DataFrame, width: int = WIDTH, max_bits: int = MAX_B
         for part in blocks(batches, "_text", BLOCK):
             docs = part.column("_doc").to_numpy(zero_copy_only=False)
             content = part.column("_content").to_numpy(zero_copy_only=False)
-            first, second, owner, at = windows(as_bytes(part.column("_text")), width)
+            first, second, home, owner, at = windows(as_bytes(part.column("_text")), width)
             maybe = np.ones(len(first), bool)
             for kept, cells in zip(filters.value, _cells([first, second], bits)):
                 maybe &= (kept[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
             first, second = first[maybe], second[maybe].astype(np.uint32)
-            owner, at = owner[maybe], at[maybe]
+            home, owner, at = home[maybe], owner[maybe], at[maybe]
             if not len(first):
                 continue
             low = _smallest(docs[owner], *_grouped(first, second))
@@ -204,8 +217,9 @@ def repeated_windows(texts: DataFrame, width: int = WIDTH, max_bits: int = MAX_B
             for o, positions in _by(owner[done], at[done]):
                 out.append((hash(int(content[o])) % shards, int(docs[o]), int(content[o]),
                             None, None, None, _planes(positions)))
-            first, second, owner, at = (x[~done] for x in (first, second, owner, at))
-            shard = (second % np.uint32(shards)).astype(np.int64)
+            first, second, home, owner, at = (
+                x[~done] for x in (first, second, home, owner, at))
+            shard = (_mix(home, 31) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             limits = np.searchsorted(shard[order], np.arange(shards + 1))
             for s in np.flatnonzero(np.diff(limits)):
