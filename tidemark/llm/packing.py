@@ -11,24 +11,26 @@ end, cut at the capacity, and the last bin at powers of two, so that those need
 
 from __future__ import annotations
 
+import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
 from .common import blocks, small_batches
-from .segments import SegmentCache
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 0
 CAPACITY = 1024
-BLOCK = 1 << 20  # bytes of text encoded together
+BLOCK = 2 << 20  # bytes of text whose pieces are sent on together
 WHOLE_FROM = 16  # pieces of this class and above are not cut further
 
 Piece = tuple[object, int, bytes, int]  # document id, start, ids, tokens of the document
@@ -90,16 +92,50 @@ class Packer:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> tuple[SegmentCache, tuple[str, ...]]:
-    """One per Python worker, with the special tokens' strings."""
+def encoder(path: str) -> Callable[[str], bytes]:
+    """Ids of a text as little-endian 32-bit numbers; one encoder per Python worker.
+
+    Where the file's merges make its tokens in the order of their ids, the merge rank of two tokens
+    is the id of what they make, and the faster rank encoder gives the tokenizer's own ids. Texts
+    with the string of a special token, and other files, go to the tokenizer itself.
+    """
     tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_padding()
+    tokenizer.no_truncation()
+    special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+    ranks = _ranks(json.loads(tokenizer.to_str()))
 
-    def encode(parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    def slow(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-    return SegmentCache(encode), special
+    if ranks is None:
+        return slow
+    quick = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN,
+                              mergeable_ranks=ranks, special_tokens={})
+
+    def encode(text: str) -> bytes:
+        if any(s in text for s in special):
+            return slow(text)
+        return np.array(quick.encode_ordinary(text), "<u4").tobytes()
+
+    return encode
+
+
+def _ranks(spec: dict) -> dict[bytes, int] | None:
+    """Token bytes to ids of a plain byte-level tokenizer whose ids are in the order of merges."""
+    plain = spec.get("pre_tokenizer") or {}
+    if (spec.get("normalizer") or plain.get("type") != "ByteLevel" or plain.get("add_prefix_space")
+            or not plain.get("use_regex", True) or spec["model"]["type"] != "BPE"):
+        return None
+    vocabulary, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+    if made != list(range(256, 256 + len(merges))):
+        return None
+    # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256.
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    signs = {chr(b): b for b in own}
+    signs |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
+    return {bytes(signs[c] for c in t): i for t, i in vocabulary.items() if i < 256 + len(merges)}
 
 
 def pack(docs: DataFrame, path: str = TOKENIZER, end: int = END, capacity: int = CAPACITY,
@@ -112,15 +148,15 @@ def pack(docs: DataFrame, path: str = TOKENIZER, end: int = END, capacity: int =
     are packed each. An empty table gives no pieces.
     """
     small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, special = encoder(path)
+        encode = encoder(path)
         packer = Packer(capacity, TaskContext.get().partitionId() << 40)
         last = np.array([end], "<u4").tobytes()
         for part in blocks(batches, "_text", BLOCK):
             texts = ["" if t is None else t for t in part.column("_text").to_pylist()]
-            coded = cache.ids(texts, lambda t: any(s in t for s in special))
-            yield batch([p for doc, ids in zip(part.column("_doc").to_pylist(), coded)
-                         for p in packer.add(doc, ids + last)])
+            yield batch([p for doc, t in zip(part.column("_doc").to_pylist(), texts)
+                         for p in packer.add(doc, encode(t) + last)])
         yield batch(list(packer.finish()))
 
     def batch(placed: list[tuple[Piece, int, int]]) -> pa.RecordBatch:
@@ -135,8 +171,6 @@ def pack(docs: DataFrame, path: str = TOKENIZER, end: int = END, capacity: int =
              pa.array([zlib.crc32(p[2]) for p in pieces], pa.int64()), n, sequence, offset],
             ["_doc", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
     source = docs.select(F.col(id_col).alias("_doc"), F.col(text).cast("string").alias("_text"))
     id_type = to_arrow_type(source.schema["_doc"].dataType)
     kind = source.schema["_doc"].dataType.simpleString()
