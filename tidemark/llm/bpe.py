@@ -21,12 +21,28 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .common import blocks, small_batches
-from .segments import SegmentCache
+from .segments import Recent, SegmentCache
 
-BLOCK = 2 << 20  # bytes of text whose words are replayed together
+WORDS = 400_000  # words that a Python worker keeps
+BLOCK = 4 << 20  # bytes of text whose words are replayed together
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+class _Pairs(dict):
+    """Merge rank of two tokens a, b under a << 20 | b; -1 where they do not merge."""
+
+    def __init__(self, ranks: dict[bytes, int], tokens: dict[int, bytes]):
+        super().__init__()
+        self.ranks, self.tokens = ranks, tokens
+
+    def __missing__(self, pair: int) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        both = self.tokens[pair >> 20] + self.tokens[pair & 0xFFFFF]
+        found = self[pair] = self.ranks.get(both, -1)
+        return found
+
+
 class Merges:
     """The ranks of a vocabulary: token ids are ranks; any two neighbours whose bytes together
     are a token can merge, whatever pair the token was made of."""
@@ -35,17 +51,7 @@ class Merges:
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.byte_ids = [ranks[bytes([b])] for b in range(256)]
-        self._pairs: dict[tuple[int, int], int | None] = {}
-
-    def rank(self, a: int, b: int) -> int | None:
-        """Rank of the merge of two tokens, None if they do not merge."""
-        try:
-            return self._pairs[a, b]
-        except KeyError:
-            if len(self._pairs) > 1_000_000:
-                self._pairs.clear()
-            found = self._pairs[a, b] = self.ranks.get(self.tokens[a] + self.tokens[b])
-            return found
+        self.pairs = _Pairs(ranks, self.tokens)
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word."""
@@ -59,34 +65,42 @@ class Merges:
         for a, b in zip(starts, starts[1:]):
             before[a], following[b - 1] = -1, -1
         index: dict[int, list[int]] = {}
-        rank = self.rank
+        pairs = self.pairs
         for i, n in enumerate(following):
-            if n >= 0 and (r := rank(token[i], token[n])) is not None:
-                index.setdefault(r, []).append(i)
+            if n >= 0 and (r := pairs[token[i] << 20 | token[n]]) >= 0:
+                if r in index:
+                    index[r].append(i)
+                else:
+                    index[r] = [i]
         order = list(index)
         heapq.heapify(order)
         while order:
             r = heapq.heappop(order)
             for i in sorted(index.pop(r)):
-                n = following[i]
-                if token[i] < 0 or n < 0 or rank(token[i], token[n]) != r:
+                n, own = following[i], token[i]
+                if own < 0 or n < 0 or pairs[own << 20 | token[n]] != r:
                     continue  # a neighbour has been merged meanwhile
                 token[i], token[n] = r, -1
                 after = following[i] = following[n]
+                left = before[i]
+                at_left = at_right = -1
                 if after >= 0:
                     before[after] = i
-                left = before[i]
-                for at, pair in ((left, left >= 0 and rank(token[left], r)),
-                                 (i, after >= 0 and rank(r, token[after]))):
-                    if pair is False or pair is None:
+                    at_right = pairs[r << 20 | token[after]]
+                if left >= 0:
+                    at_left = pairs[token[left] << 20 | r]
+                if 0 <= at_left < r or 0 <= at_right < r:
+                    # due at once, before what is left of this rank in the word
+                    self._finish(token, following, before, i)
+                    continue
+                for at, new in ((left, at_left), (i, at_right)):
+                    if new < 0:
                         continue
-                    if pair < r:  # due at once: before what is left of this rank in the word
-                        self._finish(token, following, before, i)
-                        break
-                    if pair not in index:
-                        index[pair] = []
-                        heapq.heappush(order, pair)
-                    index[pair].append(at)
+                    if new in index:
+                        index[new].append(at)
+                    else:
+                        index[new] = [at]
+                        heapq.heappush(order, new)
         for w, a in zip(rest, starts):
             ids, i = [], a
             while i >= 0:
@@ -102,8 +116,8 @@ class Merges:
         while True:
             best, where, i = None, -1, at
             while (n := following[i]) >= 0:
-                r = self.rank(token[i], token[n])
-                if r is not None and (best is None or r < best):
+                r = self.pairs[token[i] << 20 | token[n]]
+                if r >= 0 and (best is None or r < best):
                     best, where = r, i
                 i = n
             if best is None:
@@ -129,13 +143,16 @@ def encoder(path: str, pattern: str) -> SegmentCache:
     """One per Python worker; words of new segments are replayed together."""
     merges, split = merges_of(path), regex.compile(pattern)
 
+    recent = Recent(WORDS)
+
     def encode(parts: list[str]) -> list[bytes]:
-        words = [[w.encode() for w in split.findall(p)] for p in parts]
-        pool = list({w for ws in words for w in ws})
-        ids = {w: np.array(i, "<u4").tobytes() for w, i in zip(pool, merges.replay(pool))}
-        return [b"".join(map(ids.__getitem__, ws)) for ws in words]
+        words = list(map(split.findall, parts))
+        new = recent.missing(w for ws in words for w in ws)
+        replayed = merges.replay([w.encode() for w in new])
+        recent.known.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(new, replayed))
+        return [b"".join(map(recent.known.__getitem__, ws)) for ws in words]
 
-    return SegmentCache(encode, together=1 << 20)
+    return SegmentCache(encode)
 
 
 def encode(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN,

@@ -283,9 +283,17 @@ def _pair_answers(table: DataFrame, shards: int, frequent: np.ndarray, times: np
         w = np.concatenate([_unshort(r["words"]) for r in rows])
         counts = np.concatenate([_unplanes(r["counts"]) for r in rows]).astype(np.int64)
         limits = np.cumsum([len(r["words"]) // 5 for r in rows])[:-1]
-        trie = _trie(u, w, counts, frequent, times, strength)
+        order = np.lexsort((w, u))
+        u, w = u[order], w[order]
+        new = np.ones(len(u), bool)
+        new[1:] = (u[1:] != u[:-1]) | (w[1:] != w[:-1])
+        begins = np.flatnonzero(new)
+        u, w, sums = u[begins], w[begins], np.add.reduceat(counts[order], begins)
+        trie = _trie(u[sums > 0], w[sums > 0], sums[sums > 0], frequent, times, strength)
         with tempfile.TemporaryFile() as file:
-            codes = Trie.mapped(file, trie.save(file)).look_up(u, w)
+            found = Trie.mapped(file, trie.save(file)).look_up(u, w)
+        codes = np.empty(len(order), np.uint8)
+        codes[order] = found[np.cumsum(new) - 1]
         return pa.Table.from_batches([_batch(
             [(r["shard"], r["block"], c.tobytes()) for r, c in zip(rows, np.split(codes, limits))],
             "shard bigint, block bigint, codes binary")])
@@ -294,16 +302,9 @@ def _pair_answers(table: DataFrame, shards: int, frequent: np.ndarray, times: np
         answer, "shard bigint, block bigint, codes binary")
 
 
-def _trie(u: np.ndarray, w: np.ndarray, counts: np.ndarray, frequent: np.ndarray,
+def _trie(u: np.ndarray, w: np.ndarray, sums: np.ndarray, frequent: np.ndarray,
           times: np.ndarray, strength: float) -> Trie:
-    """The trie of one shard from all requests' training counts."""
-    order = np.lexsort((w, u))
-    u, w, counts = u[order], w[order], counts[order]
-    new = np.ones(len(u), bool)
-    new[1:] = (u[1:] != u[:-1]) | (w[1:] != w[:-1])
-    begins = np.flatnonzero(new)
-    sums = np.add.reduceat(counts, begins) if len(u) else counts
-    u, w, sums = u[begins][sums > 0], w[begins][sums > 0], sums[sums > 0]
+    """The trie of one shard from its distinct pairs, sorted, and their training counts."""
     contexts, where = np.unique(u, return_inverse=True)
     totals = np.bincount(where, weights=sums, minlength=len(contexts))
     # A frequent context's words lie in many shards; its count comes with it.

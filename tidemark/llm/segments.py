@@ -15,7 +15,6 @@ CACHED = 100_000  # segments that a Python worker keeps
 
 _UNSAFE = re.compile(r" (?:\s|\Z)|\s ")
 
-TOGETHER = 4_000  # new segments that are encoded at a time
 
 # ids of texts, each as little-endian unsigned 32-bit numbers
 EncodeMany = Callable[[list[str]], list[bytes]]
@@ -28,25 +27,38 @@ def segments(text: str) -> list[str]:
     return [head, *[" " + s for s in rest]]
 
 
+class Recent:
+    """What was used lately, in two generations: the older goes when the newer is full."""
+
+    def __init__(self, limit: int):
+        self.limit, self.known, self.older = limit, {}, {}
+
+    def missing(self, keys: Iterable[str]) -> list[str]:
+        """The keys that are not held; all others are in ``known`` afterwards."""
+        if len(self.known) > self.limit:
+            self.known, self.older = {}, self.known
+        out = []
+        for key in {k for k in keys if k not in self.known}:
+            if key in self.older:
+                self.known[key] = self.older[key]
+            else:
+                out.append(key)
+        return out
+
+
 class SegmentCache:
     """Encodes texts by their segments; what is new in a block of texts is encoded together."""
 
-    def __init__(self, encode: EncodeMany, limit: int = CACHED, together: int = TOGETHER):
-        self.encode, self.limit, self.together = encode, limit, together
-        self.known: dict[str, bytes] = {}
-
-    def ids(self, texts: Iterable[str], whole: Callable[[str], bool] = lambda t: False) -> list[bytes]:
-        """Ids of each text; texts that are ``whole`` are one segment."""
-        parted = [[t] if whole(t) else segments(t) for t in texts]
-        known = self.known
-        fresh = list({s for parts in parted for s in parts if s not in known})
-        alone = {p[0] for p in parted if len(p) == 1}
-        for i in range(0, len(fresh), self.together):
-            part = fresh[i:i + self.together]
-            known.update(zip(part, self.encode(part)))
+    def __init__(self, encode: EncodeMany, limit: int = CACHED):
+        self.encode, self.recent = encode, Recent(limit)
+
+    def ids(self, texts: Iterable[str]) -> list[bytes]:
+        parted = [segments(t) for t in texts]
+        fresh = self.recent.missing(s for parts in parted for s in parts)
+        known = self.recent.known
+        known.update(zip(fresh, self.encode(fresh)))
         out = [b"".join(map(known.__getitem__, parts)) for parts in parted]
-        for s in alone:  # whole texts are not kept
-            known.pop(s, None)
-        if len(known) > self.limit:
-            known.clear()
+        for parts in parted:  # whole texts are not kept
+            if len(parts) == 1:
+                known.pop(parts[0], None)
         return out
