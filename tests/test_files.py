@@ -137,7 +137,7 @@ def test_hot_folder_is_written_by_several_tasks(spark, tmp_path):
     assert read.read_table(spark, path).count() == 200_000
 
 
-def test_arrivals_are_landed_once_and_replaced(spark, tmp_path):
+def test_arrivals_are_landed_once_and_added(spark, tmp_path):
     inbox, out, state = (str(tmp_path / n) for n in ("inbox", "out", "state"))
     schema = schemas.METRICS_RAW
 
@@ -159,7 +159,60 @@ def test_arrivals_are_landed_once_and_replaced(spark, tmp_path):
     arrive("3.json", ticker="0700", year=2026, month=1, day=5, book_value=9.0)
     run()
     run()
-    assert landed() == [("0005", 5, "2.0"), ("0700", 5, "9.0")]
+    assert landed() == [("0005", 5, "2.0"), ("0700", 5, "1.0"), ("0700", 5, "9.0")]
+
+
+def test_landed_rows_do_not_depend_on_batches(spark, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    for i in range(3):
+        put(inbox, f"{i}.json", json.dumps(
+            {"ticker": "0700", "year": 2026, "month": 1, "day": 5, "book_value": float(i)}))
+    for files in (1, 10):
+        out, state = str(tmp_path / f"out{files}"), str(tmp_path / f"state{files}")
+        stream = landing.follow_files(spark, inbox, schemas.METRICS_RAW, maxFilesPerTrigger=files)
+        assert landing.land_arrivals(
+            stream, out, state, ["ticker", *schemas.RUN_DATE]).awaitTermination(120)
+        assert column(read.read_metrics(spark, out), "book_value", "book_value") == [
+            "0.0", "1.0", "2.0"]
+
+
+def _zones(tmp_path):
+    return lakehouse.Zones(*(str(tmp_path / z) for z in ("bronze", "silver", "gold")))
+
+
+def _quotes(spark, start, days, ticker="0700"):
+    return spark.createDataFrame(
+        [(ticker, day(i), 1.0, 1.0, 1.0, 1.0, 5) for i in range(start, start + days)], PRICE)
+
+
+def test_history_again_keeps_daily_prices(spark, tmp_path):
+    zones = _zones(tmp_path)
+    ingest.land_history(_quotes(spark, 0, 5), zones)
+    assert lakehouse.raw_prices(spark, zones).count() == 5  # before any daily landing
+    for run in (5, 6, 7):
+        ingest.land_daily_prices(_quotes(spark, run, 1), _quotes(spark, 0, 9, "INDEX"), zones, day(run))
+    ingest.land_history(_quotes(spark, 0, 5), zones)
+    assert lakehouse.raw_prices(spark, zones).count() == 8
+
+
+def test_daily_news_keep_the_first_pull(spark, tmp_path):
+    zones = _zones(tmp_path)
+    companies = spark.createDataFrame([("0700", "Seven Seas")], "ticker string, company_name string")
+    texts = spark.createDataFrame(
+        [(1, "seven seas a", "x", f"{day(-3)} 09:00:00"), (2, "seven seas b", "y", f"{day(-2)} 09:00:00"),
+         (3, "seven seas c", "z", f"{day(0)} 09:00:00")],
+        "id long, title string, summary string, ts string").withColumn(
+        "publication_date", F.to_timestamp("ts")).drop("ts")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Jakarta")  # landing keeps to UTC
+        ingest.land_news(texts, companies, zones, day(0), first=True)
+        ingest.land_news(texts, companies, zones, day(0))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    landed = read.read_news(spark, zones.raw("news_data"))
+    assert column(landed, "title", "title") == ["seven seas a", "seven seas b", "seven seas c"]
+    assert column(landed, "publication_date", "title")[0].endswith("09:00:00 GMT")
 
 
 def test_work_dir_is_below_the_shared_folder(spark):

@@ -164,3 +164,27 @@ def test_entity_paths_agree_with_a_frequent_word(spark):
                        for k, n in [(r[0], r[1]) for r in companies.collect()]
                        if said(t, k) or said(t, n)})
     assert rows(short) == rows(long) == expected
+
+
+@pytest.mark.parametrize("max_terms", [0, 1000])
+def test_entities_match_their_own_texts(spark, max_terms):
+    texts = spark.createDataFrame(
+        [(1, "blue whale"), (1, "red fox"), (None, "blue whale"), (2, "a blue whale swims")],
+        "doc_id long, text string")
+    entities = spark.createDataFrame([("X", "Blue Whale"), ("Z", "fox")],
+                                     "ticker string, company_name string")
+    found = match.match_entities(texts, match.search_terms(entities), keep=["text"],
+                                 max_terms=max_terms)
+    assert set(map(tuple, found.collect())) == {
+        ("X", 1, "blue whale"), ("X", None, "blue whale"), ("X", 2, "a blue whale swims"),
+        ("Z", 1, "red fox")}
+    assert found.count() == 4
+
+
+def test_replies_of_the_wrong_kind_and_nan(spark):
+    asked = spark.createDataFrame([("a",)], "x string")
+    for reply in ({"extracted_news": []}, 5, None):
+        said = asked.select(news.score_json(lambda: lambda text: reply)("x")).first()[0]
+        assert "error" in json.loads(said)
+    scores = spark.createDataFrame([(float("nan"),), (2.0,), (None,)], "s double")
+    assert [r[0] for r in scores.select(news.clamp_score("s")).collect()] == [None, 1.0, None]

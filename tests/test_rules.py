@@ -337,3 +337,10 @@ def test_chart_keeps_existing_indicators(spark):
     df = spark.createDataFrame([(1.0, 2.0, 9.0)], "sma_20 double, sma_50 double, indicator_1 double")
     got = serve.chart_indicators(df).first()
     assert (got["indicator_1"], got["indicator_2"]) == (9.0, 2.0)
+
+
+def test_what_is_no_number_is_neutral_and_down(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1.0), (1.0, nan)], "a double, b double")
+    got = df.select(display.sentiment("a"), display.candle("b", "a")).collect()
+    assert [tuple(r) for r in got] == [("Neutral", "down"), ("Bullish", "down")]

@@ -194,3 +194,11 @@ def test_latest_from_prices_equals_latest_of_fact(spark, walk):
     feeds = _feeds(spark, walk)
     assert _rounded(gold.latest_market_from_prices(*feeds)) == _rounded(
         gold.latest_market(silver.market_and_risk(*feeds)))
+
+
+@pytest.mark.parametrize("frame", [60, 126, 251, 252])
+def test_equal_values_have_no_deviation(spark, frame):
+    df = spark.createDataFrame([("T", day(i), 0.1) for i in range(300)],
+                               "ticker string, date date, v double")
+    got = column(series.rolling_moments(df, "v", frame), "stddev_v", "date")
+    assert got[0] is None and set(got[1:]) == {0.0}

@@ -458,3 +458,4 @@ ORACLES: dict[str, str] = {
         from latest join profiles using (ticker) join scored using (ticker)
         where title <> ''""", "latest", "profiles", "scored"),
 }
+ORACLES["entity_match_long"] = ORACLES["entity_match"]

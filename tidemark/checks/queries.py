@@ -527,6 +527,15 @@ def q_entity_match(spark, d):
                             news.DAILY_RESULTS, rank="rank")
 
 
+@query
+def q_entity_match_long(spark, d):
+    """The same by the way for lists too long to broadcast."""
+    terms = match.search_terms(feed(spark, d, "entities"), suffix=".ID")
+    pairs = match.match_entities(table(spark, d, "documents"), terms, keep=["n_chars"], max_terms=0)
+    return pick.top_per_key(pairs, "ticker", [F.col("n_chars").desc(), F.col("doc_id")],
+                            news.DAILY_RESULTS, rank="rank")
+
+
 @query
 def q_news_of_entities(spark, d):
     """The first pull of all entities: whole texts searched, window, newest of each."""

@@ -45,16 +45,21 @@ def match_entities(texts: DataFrame, terms: DataFrame, text_id: str = "doc_id",
     anchor, and only such candidates are searched for the phrase: work grows with the texts plus
     the candidates, not with texts times entities. With a short list all of this runs inside the
     scan and only matches are shuffled. With a long list words and terms are shuffled without the
-    texts, Spark splits frequent words, and the texts come back by their id for the search.
+    texts, Spark splits frequent words, and each text comes back by its id and the hash of its row.
+    Both ways give the same rows: repeated and null ids keep their own texts, and rows that are
+    equal throughout count once.
     """
-    spoken = texts.select(text_id, *keep, _padded(spaced_words(text)).alias("_text"))
+    row = F.struct(text_id, text, *keep)
+    spoken = texts.select(text_id, *keep, _padded(spaced_words(text)).alias("_text"),
+                          F.xxhash64(row).alias("_row"), F.xxhash64(F.lit(1), row).alias("_row2"))
+    same_row = ["_row", "_row2"]
     word = F.explode(F.array_distinct(word_array("_text"))).alias("anchor")
     if is_small(terms, max_terms):
-        candidates = spoken.select(text_id, *keep, "_text", word).join(
-            F.broadcast(terms), on="anchor")
+        candidates = spoken.select("*", word).join(F.broadcast(terms), on="anchor")
     else:
-        candidates = (
-            spoken.select(text_id, word).join(terms, on="anchor").join(spoken, on=text_id))
+        candidates = spoken.select(*same_row, word).join(terms, on="anchor").join(
+            spoken, on=same_row)
     # A phrase of one word is its own anchor and needs no search.
     said = (F.col("phrase") == F.col("anchor")) | F.contains("_text", _padded(F.col("phrase")))
-    return candidates.filter(said).select(key, text_id, *keep).distinct()
+    found = candidates.filter(said).select(key, text_id, *keep, *same_row)
+    return found.dropDuplicates([key, *same_row]).drop(*same_row)

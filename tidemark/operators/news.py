@@ -94,7 +94,10 @@ def score_json(make_scorer: Callable[[], Scorer]) -> Callable[[Column | str], Co
         if not text:
             return "{}"
         try:
-            return scorer(text)
+            said = scorer(text)
+            if not isinstance(said, str):
+                raise TypeError(f"the reply is {type(said).__name__}, not text")
+            return said
         except Exception as error:
             return json.dumps({"extracted_news": [], "error": str(error)})
 
@@ -108,8 +111,9 @@ def score_json(make_scorer: Callable[[], Scorer]) -> Callable[[Column | str], Co
 
 
 def clamp_score(score: Column | str) -> Column:
+    """Between -1 and 1; null for what is no number."""
     s = F.col(score) if isinstance(score, str) else score
-    return F.when(s.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s)))
+    return F.when(s.isNotNull() & ~F.isnan(s), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s)))
 
 
 def reply_picks(reply: Column | str = "reply", k: int = PICKED) -> Column:

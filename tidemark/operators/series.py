@@ -157,8 +157,8 @@ def _block_count(rows: int, longest: int = 64, most: int = 16) -> int:
 def _merged_moments(df: DataFrame, blocks: Sequence[int]) -> DataFrame:
     """Count, mean and squared deviations of all blocks, into those of the newest.
 
-    Merging by the difference of the means loses no digits, and a constant series keeps a
-    deviation of exactly zero.
+    Merging by the difference of the means loses no digits. Block means of equal values may
+    differ in the last bit, so equal values are known by their least and largest.
     """
     for i in blocks:
         n, m, s = (F.col(c) for c in ("_n", "_m", "_s"))
@@ -187,7 +187,8 @@ def _block_measures(df: DataFrame, value: str, rows: int, key: Keys, order: str,
     before = range(1, count)
     own = {"_n": F.count(value).over(frame)}
     if mean:
-        own |= {"_m": F.avg(value).over(frame), "_s": F.var_pop(value).over(frame)}
+        own |= {"_m": F.avg(value).over(frame), "_s": F.var_pop(value).over(frame),
+                "_lo": F.min(value).over(frame), "_hi": F.max(value).over(frame)}
     if var:
         own["_least"] = F.collect_list(value).over(frame)
     df = df.withColumns(own)
@@ -195,8 +196,10 @@ def _block_measures(df: DataFrame, value: str, rows: int, key: Keys, order: str,
     none: dict[str, Column] = {"_n": F.lit(0.0)}
     if mean:
         kept |= {"_m": F.coalesce("_m", F.lit(0.0)),
-                 "_s": F.coalesce(F.col("_s") * F.col("_n"), F.lit(0.0))}
-        none |= {"_m": F.lit(0.0), "_s": F.lit(0.0)}
+                 "_s": F.coalesce(F.col("_s") * F.col("_n"), F.lit(0.0)),
+                 "_lo": F.col("_lo"), "_hi": F.col("_hi")}
+        absent = F.lit(None).cast("double")
+        none |= {"_m": F.lit(0.0), "_s": F.lit(0.0), "_lo": absent, "_hi": absent}
     if var:
         most = max(1, math.ceil(rows * Decimal(str(tail))))
         kept["_least"] = F.slice(F.sort_array("_least"), 1, most)
@@ -210,9 +213,13 @@ def _block_measures(df: DataFrame, value: str, rows: int, key: Keys, order: str,
         least = F.sort_array(F.concat("_least", *[f"_least{i}" for i in before]))
         df = df.withColumn(var, F.try_element_at(least, _tail_rank(known, tail)))
     if mean:
+        absent = F.lit(None).cast("double")  # the least and the greatest of one column need two
+        low = F.least(absent, "_lo", *[f"_lo{i}" for i in before])
+        high = F.greatest(absent, "_hi", *[f"_hi{i}" for i in before])
+        spread = F.when(low == high, 0.0).otherwise(F.sqrt(F.col("_s") / (F.col("_n") - 1)))
         df = _merged_moments(df, before).withColumns({
             mean: F.when(F.col("_n") > 0, F.col("_m")),
-            stddev: F.when(F.col("_n") > 1, F.sqrt(F.col("_s") / (F.col("_n") - 1))),
+            stddev: F.when(F.col("_n") > 1, spread),
         })
     return df.drop(*kept, *earlier)
 

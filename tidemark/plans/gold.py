@@ -52,7 +52,10 @@ def latest_market_from_prices(prices: DataFrame, metrics: DataFrame,
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("date"))).alias(c)
           for c in series.FILLED if c in joined.columns],
     )
-    latest = risk.join(known, on="ticker").withColumn(
+    # One row per ticker on both sides; rows without one are a group as well.
+    known = known.withColumnRenamed("ticker", "_ticker")
+    latest = risk.join(known, F.col("ticker").eqNullSafe(F.col("_ticker"))).drop(
+        "_ticker").withColumn(
         "sharpe_ratio_252d", series.sharpe("_mean", "_stddev", "risk_free_rate"))
     chart_only = {*PRICE_COLUMNS, *SMA_COLUMNS}
     full = series.valuation_ratios(latest)

@@ -59,6 +59,18 @@ def read_daily_prices(spark: SparkSession, base: str,
     return read_csv(spark, base, f"ticker=*/{parts[0]}=*/", schema)
 
 
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any folder or file matches, in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return found is not None and len(found) > 0
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table."""
+    return spark.createDataFrame([], schema)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet; give the schema where partition values could be taken for numbers."""
     reader = spark.read if schema is None else spark.read.schema(schema)
