@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import blocks, small_batches
 from .segments import Recent, SegmentCache
 
-WORDS = 400_000  # words that a Python worker keeps
+WORDS = 300_000  # words that a Python worker keeps
 BLOCK = 4 << 20  # bytes of text whose words are replayed together
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -36,7 +36,7 @@ class _Pairs(dict):
         self.ranks, self.tokens = ranks, tokens
 
     def __missing__(self, pair: int) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 500_000:
             self.clear()
         both = self.tokens[pair >> 20] + self.tokens[pair & 0xFFFFF]
         found = self[pair] = self.ranks.get(both, -1)
@@ -191,6 +191,15 @@ def decode(encoded: DataFrame, path: str = RANKS, id_col: str = "doc_id") -> Dat
         "_doc", id_col)
 
 
+class _Decimals(dict):
+    def __missing__(self, number: int) -> str:
+        text = self[number] = str(number)
+        return text
+
+
+_decimals = _Decimals()
+
+
 def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +208,7 @@ def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
             for ids in part.column("ids").to_pylist():
                 ids = np.frombuffer(ids, "<u4").tolist()
                 sizes.append(len(ids))
-                hashes.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                hashes.append(hashlib.sha256(",".join(map(_decimals.__getitem__, ids)).encode()).hexdigest())
             whole = [hashlib.sha256(d).hexdigest() for d in part.column("decoded").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("_doc"), pa.array(sizes, pa.int64()), pa.array(hashes),

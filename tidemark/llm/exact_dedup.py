@@ -79,8 +79,8 @@ def _told_apart(texts: DataFrame, ambiguous: DataFrame, ids) -> DataFrame:
     """Lists with an identifier of two contents carry their whole text as well."""
     rows = texts.select("_doc", "_norm", _recipe(F.col("_norm"), ids).alias("_recipe"))
     width = len(ids(F.lit("")))
-    pairs = F.transform(F.sequence(F.lit(0), F.size("_recipe") / width - 1),
-                        lambda i: F.slice("_recipe", (i * width + 1).cast("int"), width))
+    pairs = F.transform(F.sequence(F.lit(0), (F.size("_recipe") / width).cast("int") - 1),
+                        lambda i: F.slice("_recipe", i * width + 1, width))
     hit = (rows.filter(F.size("_recipe") > 0).select("_recipe", F.explode(pairs).alias("_id"))
            .join(ambiguous, "_id", "left_semi")
            .select(F.col("_recipe").alias("_hit")).distinct())
