@@ -27,14 +27,14 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import as_bytes, blocks, small_batches, stored
+from .common import as_bytes, blocks, release, small_batches, stored
 from .elias_fano import EliasFano
 
 ADD = 0.1
 STRENGTH = 2.0  # k: how many tokens the unigrams weigh in a context
 FREQUENT = 256
-SHARD_BYTES = 8 << 20  # of text per shard, about
-TEXT_BLOCK = 6 << 20  # bytes of text in a block
+SHARD_BYTES = 4 << 20  # of text per shard, about
+TEXT_BLOCK = 4 << 20  # bytes of text in a block
 BEGIN, END = (np.uint64(xxhash.xxh3_64_intdigest(t)) for t in (b"\n<s>", b"\n</s>"))
 # codes 1 to 255 of log10 of a share, 0 for none
 _CODES, _LEAST = 255, -9.0
@@ -294,6 +294,8 @@ def _pair_answers(table: DataFrame, shards: int, frequent: np.ndarray, times: np
             found = Trie.mapped(file, trie.save(file)).look_up(u, w)
         codes = np.empty(len(order), np.uint8)
         codes[order] = found[np.cumsum(new) - 1]
+        del trie
+        release()
         return pa.Table.from_batches([_batch(
             [(r["shard"], r["block"], c.tobytes()) for r, c in zip(rows, np.split(codes, limits))],
             "shard bigint, block bigint, codes binary")])
