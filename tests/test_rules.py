@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import html
 import random
 
 import pytest
@@ -344,3 +345,33 @@ def test_what_is_no_number_is_neutral_and_down(spark):
     df = spark.createDataFrame([(nan, 1.0), (1.0, nan)], "a double, b double")
     got = df.select(display.sentiment("a"), display.candle("b", "a")).collect()
     assert [tuple(r) for r in got] == [("Neutral", "down"), ("Bullish", "down")]
+
+
+REFERENCES = ["a &amp;lt; b", "&#8217;&#x27;&eacute;&ndash;", "&copy 2020 &copyx &notit; &notin; x",
+              "&#0;&#xD800;&#99999999;&#x110000;", "&#128;&#x92;&#159", "&& & &; &x; &#; &#x;",
+              "&#0000065;&#x00041", "plain", "", "&fjlig;"]
+
+
+@pytest.mark.parametrize("page", REFERENCES)
+def test_decode_references_like_the_standard_library(spark, page):
+    assert evaluate(spark, text.decode_references("v"), page) == html.unescape(page)
+
+
+@pytest.mark.parametrize("hidden", [
+    '<!-- <h2 id="description">1.00%</h2> -->',
+    "<script>'<h2 id=description>2.00%</h2>'</script>",
+    "<STYLE x><h2 id=description>3.00%</h2></style >",
+])
+def test_hidden_elements_do_not_count(spark, hidden):
+    page = f'<html>{hidden}<h2 id="description">6.71&percnt;</h2></html>'
+    assert evaluate(spark, text.element_text("v", "h2", "description"), page) == "6.71%"
+    unclosed = '<html><!-- <h2 id="description">1.00%</h2>'
+    assert evaluate(spark, text.element_text("v", "h2", "description"), unclosed) is None
+
+
+def test_small_is_counted_in_rows_and_bytes(spark):
+    df = spark.createDataFrame([("é" * 10, 1), (None, 2)], "v string, n int")
+    assert joins.is_small(df, 2, 20)
+    assert not joins.is_small(df, 1, 20)
+    assert not joins.is_small(df, 2, 19)
+    assert joins.is_small(df.limit(0), 0, 0)

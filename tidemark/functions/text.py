@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html.entities
+import json
 import re
 
 from pyspark.sql import Column, functions as F
@@ -12,19 +14,15 @@ from .safe import _col, to_double
 NOT_WORD = r"[^\p{L}\p{N}]+"
 PERCENT = r"([0-9]+\.[0-9]+)%"
 
-# Character references that occur in page text. The ampersand comes last, or
-# "&amp;lt;" would be decoded twice.
-REFERENCES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&amp;": "&",
-}
+# Markup that is no text of the page.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+
+# Names of character references, most of them with the semicolon that ends them, and the letters
+# that the numbers 128 to 159 stand for; both by the standard library's tables.
+NAMES = html.entities.html5
+BARE = sorted((n for n in NAMES if not n.endswith(";")), key=lambda n: (-len(n), n))
+C1 = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
+REPLACEMENT = 0xFFFD
 
 
 def spaced_words(text: Column | str) -> Column:
@@ -45,17 +43,55 @@ def count_words(word_list: Column, wanted: list[str] | tuple[str, ...]) -> Colum
     return F.size(F.filter(word_list, lambda w: w.isin(*wanted)))
 
 
-def element_text(html: Column | str, tag: str, element_id: str | None = None) -> Column:
-    """Text of the first such element, tags inside it removed; null where there is none."""
+def _of_code(digits: Column, base: int) -> Column:
+    """The character of a number without leading zeros; eight digits are beyond all of them."""
+    code = F.conv(F.substring(digits, 1, 8), base, 10).try_cast("bigint")
+    code = F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF),
+                  REPLACEMENT).otherwise(code)
+    return F.when(code.between(128, 159), F.substr(F.lit(C1), (code - 127).cast("int"))
+                  .substr(1, 1)).otherwise(
+        F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def _after_ampersand(piece: Column) -> Column:
+    """What follows an ampersand, with the reference at its start decoded if there is one."""
+    def start(pattern: str, group: int = 0) -> Column:
+        return F.nullif(F.regexp_extract(piece, pattern, group), F.lit(""))
+
+    names = F.from_json(F.lit(json.dumps(NAMES)), "map<string,string>")
+    out = F.concat(F.lit("&"), piece)
+    for found, char in (
+        (start("^(?:" + "|".join(BARE) + ")"), None),
+        (start("^[A-Za-z][A-Za-z0-9]*;"), None),
+        (start(r"^#[xX][0-9A-Fa-f]+;?"), _of_code(start(r"^#[xX]0*([0-9A-Fa-f]+)", 1), 16)),
+        (start(r"^#[0-9]+;?"), _of_code(start(r"^#0*([0-9]+)", 1), 10)),
+    ):
+        char = F.try_element_at(names, found) if char is None else char
+        out = F.when(found.isNotNull() & char.isNotNull(),
+                     F.concat(char, F.substr(piece, F.length(found) + 1))).otherwise(out)
+    return out
+
+
+def decode_references(text: Column | str) -> Column:
+    """Character references, named and numbered, become their characters in one pass."""
+    t = _col(text)
+    pieces = F.transform(F.split(t, "&"), lambda piece, i: F.when(i == 0, piece).otherwise(
+        _after_ampersand(piece)))
+    return F.when(F.contains(t, F.lit("&")), F.array_join(pieces, "")).otherwise(t)
+
+
+def element_text(page: Column | str, tag: str, element_id: str | None = None) -> Column:
+    """Text of the first such element, tags inside it removed; null where there is none.
+
+    Elements inside comments, scripts and styles do not count.
+    """
     attrs = r"(?:\s[^>]*)?"
     if element_id is not None:
         attrs = rf"\s(?:[^>]*\s)?id\s*=\s*[\"']?{re.escape(element_id)}[\"']?{attrs}"
     pattern = rf"(?is)<{tag}{attrs}>.*?</{tag}\s*>"
-    element = F.nullif(F.regexp_extract(_col(html), pattern, 0), F.lit(""))
-    text = F.regexp_replace(element, "<[^>]+>", "")
-    for reference, char in REFERENCES.items():
-        text = F.replace(text, F.lit(reference), F.lit(char))
-    return text
+    shown = F.regexp_replace(_col(page), HIDDEN, "")
+    element = F.nullif(F.regexp_extract(shown, pattern, 0), F.lit(""))
+    return decode_references(F.regexp_replace(element, "<[^>]+>", ""))
 
 
 def percent(text: Column | str) -> Column:
