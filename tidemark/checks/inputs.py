@@ -48,7 +48,7 @@ FEEDS = {
                     else concat(cast(volume as string), '.0') end as Volume
         from {px}
     """,
-    # Sparse snapshots: returned items. Nulls, zeros, NaN and weekend dates are all there.
+    # Snapshots: items by the day of their order. Nulls, zeros, NaN and weekend dates are all there.
     "metrics_raw": """
         select cast(l_suppkey as string) as ticker, cast(year(o_orderdate) as int) as year,
                cast(month(o_orderdate) as int) as month, cast(day(o_orderdate) as int) as day,
@@ -68,31 +68,30 @@ FEEDS = {
                     else cast(l_quantity as bigint) * 1000 end as shares_outstanding,
                o_orderkey % 1000 as free_float, l_orderkey as src_id, l_partkey as src_id2
         from {lineitem} join {orders} on l_orderkey = o_orderkey
-        where l_returnflag = 'R'
     """,
-    # A rate on Mondays and Saturdays; Saturday's rolls onto Monday.
+    # A rate per order day; those of a weekend roll onto Monday.
     "rates_raw": """
         select cast(year(d) as int) as year, cast(month(d) as int) as month,
                cast(day(d) as int) as day, cast(300 + n % 400 as double) / 10000 as risk_free_rate
         from (select cast(o_orderdate as date) as d, sum(o_orderkey) as n from {orders}
-              where {dow_monday_saturday} group by cast(o_orderdate as date)) g
+              group by cast(o_orderdate as date)) g
     """,
-    # Profiles of suppliers in credit: the others have prices but no profile.
+    # Profiles: those of suppliers in debt are listed elsewhere and meet no prices.
     "profiles_raw": """
-        select cast(s_suppkey as string) as ticker, s_name as company_name, r_name as sector,
+        select concat(cast(s_suppkey as string), case when s_acctbal > 0 then '' else '.X' end)
+               as ticker, s_name as company_name, r_name as sector,
                n_name as industry
         from {supplier} join {nation} on s_nationkey = n_nationkey
              join {region} on n_regionkey = r_regionkey
-        where s_acctbal > 0
     """,
-    # News of customers in credit, errors landed twice; the others have no news.
+    # News, errors landed twice; those of customers in debt are of companies listed elsewhere.
     "news_raw": """
         with landed as (
-            select cast(user_id as string) as ticker, event_type,
+            select concat(cast(user_id as string), case when c_acctbal > 0 then '' else '.X' end)
+                   as ticker, event_type,
                    concat(event_type, '-', cast(event_id as string)) as title,
                    props as summary, {feed_time} as publication_date
-            from {events}
-            where user_id in (select c_custkey from {customer} where c_acctbal > 0)
+            from {events} left join {customer} on user_id = c_custkey
         )
         select ticker, title, summary, publication_date from landed
         union all
@@ -120,30 +119,31 @@ FEEDS = {
               from {{lineitem}}) g
         group by ticker, n
     """,
-    # News texts: documents in turn with events, which lend them a time.
+    # News texts: documents, to which events lend a time; those without one are undated.
     "texts": """
         select doc_id as id, heading as title, text as summary, ts
                as publication_date
         from (select doc_id, text, concat(source, ' ', lang) as heading
               from {documents}) d
-        join (select event_id, {seconds} as ts from {events}) e on doc_id = event_id
+        left join (select event_id, {seconds} as ts from {events}) e on doc_id = event_id
     """,
-    # Searched companies: a phrase of each benchmark passage as name, a word as code.
+    # Searched companies: a whole benchmark passage as name, its number as code.
     "entities": """
-        select distinct concat(w4, '.ID') as ticker, concat(w1, ' ', w2, ' ', w3)
-               as company_name
-        from (select {word_1} as w1, {word_2} as w2, {word_3} as w3, {word_4} as w4
-              from {benchmark}) g
-        where w4 <> ''
+        select distinct concat(cast(item_id as string), '.ID') as ticker, text as company_name
+        from {benchmark}
     """,
-    # Rate pages: one per order, some of which quote no rate, or not where it belongs.
+    # Rate pages: one per order, some of which quote no rate, or not where it belongs, or with
+    # references for signs; comments and scripts hold other rates.
     "rate_pages": """
         select o_orderkey as page_id,
-               concat('<html><h1>9.99%</h1><p id="description">8.88%</p><H2 class="x" ',
+               concat('<html><!-- <h2 id="description">1.11%</h2> --><script>"<h2 id=description>',
+                      '2.22%</h2>"</script><h1>9.99%</h1><p id="description">8.88%</p><H2 class="x" ',
                       case when o_orderstatus = 'P' then 'id="other"' else 'id="description"' end,
                       '>The <b>yield</b> &amp; rate rose to ',
                       cast(cast(floor(o_totalprice / 1000) as bigint) as string),
-                      case when o_orderpriority = '5-LOW' then ' points' else '.25%' end,
+                      case when o_orderpriority = '5-LOW' then ' points'
+                           when o_orderkey % 3 = 0 then '&#46;&#x32;5&percnt;'
+                           when o_orderkey % 3 = 1 then '&period;25&#37' else '.25%' end,
                       '</H2><h2 id="description">7.77%</h2></html>') as html
         from {orders}
     """,
@@ -155,16 +155,12 @@ FEEDS = {
 }
 
 _SPARK = {
-    "dow_monday_saturday": "dayofweek(o_orderdate) in (2, 7)",
     "seconds": "cast(date_trunc('SECOND', ts) as timestamp)",
     "feed_time": "concat(date_format(ts, 'EEE, dd MMM yyyy HH:mm:ss'), ' GMT')",
-    **{f"word_{n}": f"split_part(text, ' ', {n})" for n in range(1, 5)},
 }
 _DUCKDB = {
-    "dow_monday_saturday": "dayofweek(o_orderdate) in (1, 6)",
     "seconds": "date_trunc('second', ts)",
     "feed_time": "strftime(ts, '%a, %d %b %Y %H:%M:%S GMT')",
-    **{f"word_{n}": f"split_part(text, ' ', {n})" for n in range(1, 5)},
 }
 
 

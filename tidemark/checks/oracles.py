@@ -134,7 +134,8 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
             (f'cast({_q(s)} as double) as {_q(t)}'
              if s not in ('ticker', 'date', 'title', 'summary', 'company_name', 'sector',
                           'industry', 'news_date') else f'{_q(s)} as {_q(t)}')
-            for s, t in SNAPSHOT_NAMES.items())} from snapshot"""),
+            for s, t in SNAPSHOT_NAMES.items())}, cast("12m_return" as double) as return_12m
+        from snapshot"""),
     "served_chart": (("chart",), f"""
         select {', '.join(
             (f'cast({_q(s)} as double) as {_q(t)}' if s not in ('ticker', 'date')
@@ -220,6 +221,9 @@ _ELEMENT = r"""case when regexp_matches(html, '(?is)<{tag}{attrs}>(.*?)</{tag}\s
                        '<[^>]+>', '', 'g'),
         '&quot;', '"'), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') end"""
 _ANY = r"(?:\s[^>]*)?"
+_SHOWN = r"""(select page_id, regexp_replace(regexp_replace(regexp_replace(html,
+    '<!--.*?-->', '', 'gs'), '<script.*?</script *>', '', 'gis'), '<style.*?</style *>', '', 'gis')
+    as html from pages)"""
 
 ALL_PRICES = "ticker, date, open, high, low, close, volume"
 
@@ -315,8 +319,8 @@ ORACLES: dict[str, str] = {
         from (select ticker, title, strptime(publication_date, '%a, %d %b %Y %H:%M:%S GMT') as ts
               from news_raw) n""", "news_raw"),
     "extract_html": "select page_id, {title} as title, {h1} as heading, {h2} as description "
-                    "from pages".format(
-        title=_ELEMENT.format(tag="title", attrs=_ANY), h1=_ELEMENT.format(tag="h1", attrs=_ANY),
+                    "from {shown} p".format(
+        shown=_SHOWN, title=_ELEMENT.format(tag="title", attrs=_ANY), h1=_ELEMENT.format(tag="h1", attrs=_ANY),
         h2=_ELEMENT.format(tag="h2", attrs=r'\s[^>]*id\s*=\s*"?description"?' + _ANY)),
     "extract_percent": r"""
         select rate, count(*) as pages from (
@@ -459,3 +463,5 @@ ORACLES: dict[str, str] = {
         where title <> ''""", "latest", "profiles", "scored"),
 }
 ORACLES["entity_match_long"] = ORACLES["entity_match"]
+ORACLES["lakehouse_snapshot"] = ORACLES["snapshot_gold"]
+ORACLES["lakehouse_chart"] = ORACLES["serve_chart"]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from .. import schemas
 from ..functions import dates, safe, text
 from ..operators import clean, joins, match, news, pick, serve, series, split, statements
-from ..plans import gold, ingest, silver
+from ..plans import gold, ingest, lakehouse, silver
 from ..session import configure, work_dir
 from ..sources import read, write
 from .inputs import feed, table
@@ -596,6 +596,51 @@ def q_chart_gold(spark, d):
     return _chart(spark, d)
 
 
+def _lake(spark: SparkSession, d: str) -> lakehouse.Zones:
+    """Raw files as pulls land them: all of the history, and the newest day once more as a daily
+    run lands it."""
+    base = work_dir(spark, "lake")
+    zones = lakehouse.Zones(f"{base}/bronze", f"{base}/silver", f"{base}/gold")
+    px = feed(spark, d, "px")
+    ingest.land_history(px, zones)
+    newest = px.agg(F.max("date")).first()[0]
+    ingest.land_daily_prices(px.filter(F.col("date") == F.lit(newest)), px, zones, newest)
+    # A folder holds one snapshot per ticker and day.
+    order = [F.col(c).desc_nulls_last() for c in ("src_id", "src_id2", *schemas.METRICS)]
+    snapshots = pick.keep_first(feed(spark, d, "metrics_raw"), ["ticker", *schemas.RUN_DATE], order)
+    write.land(snapshots.drop("src_id", "src_id2"), zones.raw("market_metrics"),
+               schemas.RUN_DATE, fmt="json", tasks=_tasks(spark))
+    write.land(feed(spark, d, "rates_raw"), zones.raw("risk_free_rate"), schemas.RUN_DATE,
+               fmt="json", tasks=_tasks(spark))
+    return zones
+
+
+@query
+def q_lakehouse_snapshot(spark, d):
+    """The whole run over folders, from raw files to the published snapshot."""
+    zones = _lake(spark, d)
+    ingest.land_profiles(feed(spark, d, "profiles_raw"), zones)
+    day = F.to_date(dates.parse_feed_time("publication_date"))
+    write.land(feed(spark, d, "news_raw").withColumns(dates.run_date_parts(day)),
+               zones.raw("news_data"), ["ticker", *schemas.RUN_DATE], fmt="json",
+               tasks=_tasks(spark))
+    lakehouse.build_silver(spark, zones)
+    lakehouse.build_snapshot(spark, zones)
+    return spark.read.parquet(zones.published("snapshot")).withColumns(
+        _rounded("sharpe_ratio_252d"))
+
+
+@query
+def q_lakehouse_chart(spark, d):
+    """One ticker out of the published chart: only its folder is read."""
+    zones = _lake(spark, d)
+    lakehouse.build_market_and_risk(spark, zones)
+    lakehouse.build_chart(spark, zones)
+    chart_schema = T.StructType([silver.FACT[c] for c in gold.CHART_COLUMNS])
+    return serve.chart_of(
+        spark, read.read_table(spark, zones.published("chart_data"), chart_schema), CHART_TICKER)
+
+
 # -- serving --------------------------------------------------------------------------------------
 
 @query

@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from .pick import Keys, as_list
 
-# A daily calendar of 547 years, some 5 MB; 20 MB of search terms.
+# A daily calendar of 547 years, some 5 MB.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_TEXT = 64 << 20  # bytes in all text columns
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; the count stops there."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+             max_text: int = MAX_BROADCAST_TEXT) -> bool:
+    """Whether ``df`` has at most so many rows and bytes of text; rows beyond are not counted."""
+    texts = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0))
+             for c, kind in df.dtypes if kind == "string"]
+    rows, size = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(sum(texts, F.lit(0)).cast("bigint")), F.lit(0))).first()
+    return rows <= max_rows and size <= max_text
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

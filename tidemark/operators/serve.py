@@ -89,7 +89,8 @@ def _published(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 
 def serve_snapshot(snapshot: DataFrame) -> DataFrame:
-    return _published(snapshot, SNAPSHOT_NAMES)
+    """The published record; its 12-month return has its own name beside the published one."""
+    return _published(snapshot, SNAPSHOT_NAMES).withColumn("return_12m", F.col("ytd_return"))
 
 
 def serve_chart(chart: DataFrame) -> DataFrame:
