@@ -1,6 +1,6 @@
-"""Byte-level BPE by replaying the merges over a whole block of corpus at once.
+"""Byte-level BPE by replaying the merges over many words of the corpus at once.
 
-The distinct words (matches of the split pattern) of a block lie side by side as linked bytes. An
+The distinct new words (matches of the split pattern) of a block, some thousands at a time, lie side by side as linked bytes. An
 inverted index leads from each pair of neighbours that can merge, by the rank of the merge, to the
 positions where it stands. Merges are applied in rank order, each at all its positions; only the
 two neighbours of a merged pair are looked up again, and new pairs enter the index.
@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,7 +25,8 @@ from .common import blocks, small_batches
 from .segments import Recent, SegmentCache
 
 WORDS = 300_000  # words that a Python worker keeps
-BLOCK = 4 << 20  # bytes of text whose words are replayed together
+BLOCK = 4 << 20  # bytes of text whose new words are found together
+REPLAYED = 2_000  # new words of one replay: few enough for its lists to stay in a core's cache
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -148,8 +150,10 @@ def encoder(path: str, pattern: str) -> SegmentCache:
     def encode(parts: list[str]) -> list[bytes]:
         words = list(map(split.findall, parts))
         new = recent.missing(w for ws in words for w in ws)
-        replayed = merges.replay([w.encode() for w in new])
-        recent.known.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(new, replayed))
+        for start in range(0, len(new), REPLAYED):
+            part = new[start:start + REPLAYED]
+            replayed = merges.replay([w.encode() for w in part])
+            recent.known.update((w, array("I", i).tobytes()) for w, i in zip(part, replayed))
         return [b"".join(map(recent.known.__getitem__, ws)) for ws in words]
 
     return SegmentCache(encode)
