@@ -1,9 +1,10 @@
 """Byte-level BPE by replaying the merges over many words of the corpus at once.
 
-The distinct new words (matches of the split pattern) of a block, some thousands at a time, lie side by side as linked bytes. An
-inverted index leads from each pair of neighbours that can merge, by the rank of the merge, to the
-positions where it stands. Merges are applied in rank order, each at all its positions; only the
-two neighbours of a merged pair are looked up again, and new pairs enter the index.
+The distinct new words (matches of the split pattern) of a block, some thousands at a time, lie
+side by side as linked bytes. An inverted index leads from each pair of neighbours that can merge,
+by the rank of the merge, to the positions where it stands. Merges are applied in rank order, each
+at all its positions; only the two neighbours of a merged pair are looked up again, and new pairs
+enter the index.
 """
 
 from __future__ import annotations
