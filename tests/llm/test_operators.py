@@ -295,7 +295,10 @@ def test_ids_and_bytes_as_the_library_has_them(docs):
         ids = _library().encode_ordinary(t or "")
         assert got[i] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
                           hashlib.sha256((t or "").encode()).hexdigest())
+    assert by_id(bpe.round_trip(docs(*texts, ids="1")), "n_tokens", "ids_sha256",
+                 "decoded_sha256") == got
     assert bpe.encode(docs("x").limit(0)).count() == 0
+    assert bpe.round_trip(docs("x").limit(0)).count() == 0
 
 
 def test_merges_that_come_due_at_once():

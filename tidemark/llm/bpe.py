@@ -12,7 +12,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -53,33 +52,52 @@ class Merges:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
-        self.byte_ids = [ranks[bytes([b])] for b in range(256)]
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)])
+        self.byte_pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)]
+                                    for a in range(256)])
         self.pairs = _Pairs(ranks, self.tokens)
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word."""
-        done = {w: [self.ranks[w]] for w in words if w in self.ranks}
-        done[b""] = []
+        return [np.frombuffer(ids, "<u4").tolist() for ids in self.packed(words)]
+
+    def packed(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as little-endian 32-bit numbers."""
+        done = {w: self.ranks[w].to_bytes(4, "little") for w in words if w in self.ranks}
+        done[b""] = b""
         rest = [w for w in dict.fromkeys(words) if w not in done]
-        token = [self.byte_ids[b] for b in b"".join(rest)]
-        starts = np.cumsum([0, *map(len, rest)]).tolist()
-        following = list(range(1, len(token) + 1))
-        before = list(range(-1, len(token) - 1))
-        for a, b in zip(starts, starts[1:]):
-            before[a], following[b - 1] = -1, -1
-        index: dict[int, list[int]] = {}
+        if rest:
+            done.update(zip(rest, self._merged(rest)))
+        return [done[w] for w in words]
+
+    def _merged(self, words: list[bytes]) -> list[bytes]:
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        following, before = np.arange(1, len(data) + 1), np.arange(-1, len(data) - 1)
+        following[ends - 1] = before[ends[:-1]] = -1
+        rank = self.byte_pairs[data[:-1], data[1:]]
+        rank[ends[:-1] - 1] = -1
+        token, following, before = (
+            a.tolist() for a in (self.byte_ids[data], following, before))
+        self._apply(_index(rank), token, following, before)
+        # A merged token stands where its first byte stood, so tokens are still in order.
+        left = np.array(token)
+        alive = left >= 0
+        ids = left[alive].astype("<u4").tobytes()
+        limits = (4 * np.cumsum(alive)[ends - 1]).tolist()
+        return [ids[a:b] for a, b in zip([0, *limits], limits)]
+
+    def _apply(self, index: dict[int, list[int]], token: list[int], following: list[int],
+               before: list[int]) -> None:
+        """Every merge in rank order; a token that went into its left neighbour becomes -1."""
         pairs = self.pairs
-        for i, n in enumerate(following):
-            if n >= 0 and (r := pairs[token[i] << 20 | token[n]]) >= 0:
-                if r in index:
-                    index[r].append(i)
-                else:
-                    index[r] = [i]
         order = list(index)
         heapq.heapify(order)
         while order:
             r = heapq.heappop(order)
-            for i in sorted(index.pop(r)):
+            found = index.pop(r)
+            found.sort()
+            for i in found:
                 n, own = following[i], token[i]
                 if own < 0 or n < 0 or pairs[own << 20 | token[n]] != r:
                     continue  # a neighbour has been merged meanwhile
@@ -104,13 +122,6 @@ class Merges:
                     else:
                         index[new] = [at]
                         heapq.heappush(order, new)
-        for w, a in zip(rest, starts):
-            ids, i = [], a
-            while i >= 0:
-                ids.append(token[i])
-                i = following[i]
-            done[w] = ids
-        return [done[w] for w in words]
 
     def _finish(self, token: list[int], following: list[int], before: list[int], at: int) -> None:
         """Apply what is left to the word of a position, lowest rank and leftmost first."""
@@ -134,6 +145,20 @@ class Merges:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def unpacked(self, ids: bytes) -> bytes:
+        """The bytes of ids given as little-endian 32-bit numbers."""
+        return self.decode(np.frombuffer(ids, "<u4").tolist())
+
+
+def _index(rank: np.ndarray) -> dict[int, list[int]]:
+    """Where each rank stands, -1 left out."""
+    at = np.flatnonzero(rank >= 0)
+    at = at[np.argsort(rank[at], kind="stable")]
+    distinct, begins = np.unique(rank[at], return_index=True)
+    limits = [*begins.tolist(), len(at)]
+    at = at.tolist()
+    return {r: at[a:b] for r, a, b in zip(distinct.tolist(), limits, limits[1:])}
+
 
 @lru_cache(maxsize=2)
 def merges_of(path: str) -> Merges:
@@ -150,16 +175,26 @@ def encoder(path: str, pattern: str) -> SegmentCache:
 
     def encode(parts: list[str]) -> list[bytes]:
         words = list(map(split.findall, parts))
-        new = recent.missing(w for ws in words for w in ws)
+        new = recent.missing(words)
         for start in range(0, len(new), REPLAYED):
             part = new[start:start + REPLAYED]
-            replayed = merges.replay([w.encode() for w in part])
-            recent.known.update((w, array("I", i).tobytes()) for w, i in zip(part, replayed))
+            recent.known.update(zip(part, merges.packed([w.encode() for w in part])))
         return [b"".join(map(recent.known.__getitem__, ws)) for ws in words]
 
     return SegmentCache(encode)
 
 
+def _encoded(part: pa.RecordBatch, path: str, pattern: str) -> list[bytes]:
+    texts = ["" if t is None else t for t in part.column("_text").to_pylist()]
+    return encoder(path, pattern).ids(texts)
+
+
+def _texts(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, str]:
+    """(_doc, _text) and the type of the ids."""
+    source = docs.select(F.col(id_col).alias("_doc"), F.col(text).cast("string").alias("_text"))
+    return source, source.schema["_doc"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN,
            id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, ids): the token ids of each row's whole text, ids as little-endian 32-bit numbers.
@@ -169,13 +204,11 @@ def encode(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.
     small_batches(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, "_text", BLOCK):
-            texts = ["" if t is None else t for t in part.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column("_doc"), pa.array(encoder(path, pattern).ids(texts), pa.binary())],
+                [part.column("_doc"), pa.array(_encoded(part, path, pattern), pa.binary())],
                 ["_doc", "ids"])
 
-    source = docs.select(F.col(id_col).alias("_doc"), F.col(text).cast("string").alias("_text"))
-    kind = source.schema["_doc"].dataType.simpleString()
+    source, kind = _texts(docs, id_col, text)
     return source.mapInArrow(run, f"_doc {kind}, ids binary").withColumnRenamed("_doc", id_col)
 
 
@@ -184,7 +217,7 @@ def decode(encoded: DataFrame, path: str = RANKS, id_col: str = "doc_id") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = merges_of(path)
         for part in blocks(batches, "ids"):
-            out = [None if i is None else merges.decode(np.frombuffer(i, "<u4").tolist())
+            out = [None if i is None else merges.unpacked(i)
                    for i in part.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("_doc"), part.column("ids"), pa.array(out, pa.binary())],
@@ -203,24 +236,41 @@ class _Decimals(dict):
 
 
 _decimals = _Decimals()
+_DIGESTS = "_doc {}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
+def _digested(doc: pa.Array, ids: list[bytes], decoded: list[bytes]) -> pa.RecordBatch:
+    hashes = []
+    for packed in ids:
+        numbers = map(_decimals.__getitem__, np.frombuffer(packed, "<u4").tolist())
+        hashes.append(hashlib.sha256(",".join(numbers).encode()).hexdigest())
+    return pa.RecordBatch.from_arrays(
+        [doc, pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(hashes, pa.string()),
+         pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string())],
+        ["_doc", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
 def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, "ids"):
-            sizes, hashes = [], []
-            for ids in part.column("ids").to_pylist():
-                ids = np.frombuffer(ids, "<u4").tolist()
-                sizes.append(len(ids))
-                hashes.append(hashlib.sha256(",".join(map(_decimals.__getitem__, ids)).encode()).hexdigest())
-            whole = [hashlib.sha256(d).hexdigest() for d in part.column("decoded").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("_doc"), pa.array(sizes, pa.int64()), pa.array(hashes),
-                 pa.array(whole)], ["_doc", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield _digested(part.column("_doc"), part.column("ids").to_pylist(),
+                            part.column("decoded").to_pylist())
 
     source = decoded.select(F.col(id_col).alias("_doc"), "ids", "decoded")
     kind = source.schema["_doc"].dataType.simpleString()
-    return source.mapInArrow(
-        run, f"_doc {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
-    ).withColumnRenamed("_doc", id_col)
+    return source.mapInArrow(run, _DIGESTS.format(kind)).withColumnRenamed("_doc", id_col)
+
+
+def round_trip(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN,
+               id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The digests of ``decode(encode(docs))`` in one pass: ids and bytes stay in the task."""
+    small_batches(docs.sparkSession)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merges = merges_of(path)
+        for part in blocks(batches, "_text", BLOCK):
+            ids = _encoded(part, path, pattern)
+            yield _digested(part.column("_doc"), ids, list(map(merges.unpacked, ids)))
+
+    source, kind = _texts(docs, id_col, text)
+    return source.mapInArrow(run, _DIGESTS.format(kind)).withColumnRenamed("_doc", id_col)

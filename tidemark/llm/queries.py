@@ -83,7 +83,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir))))
+    return bpe.round_trip(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {

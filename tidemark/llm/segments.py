@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-CACHED = 100_000  # segments that a Python worker keeps
+CACHED = 200_000  # segments that a Python worker keeps
 
 _UNSAFE = re.compile(r" (?:\s|\Z)|\s ")
 
@@ -33,12 +33,12 @@ class Recent:
     def __init__(self, limit: int):
         self.limit, self.known, self.older = limit, {}, {}
 
-    def missing(self, keys: Iterable[str]) -> list[str]:
-        """The keys that are not held; all others are in ``known`` afterwards."""
+    def missing(self, keys: Iterable[list[str]]) -> list[str]:
+        """The keys of some lists that are not held; all others are in ``known`` afterwards."""
         if len(self.known) > self.limit:
             self.known, self.older = {}, self.known
         out = []
-        for key in {k for k in keys if k not in self.known}:
+        for key in set().union(*keys).difference(self.known):
             if key in self.older:
                 self.known[key] = self.older[key]
             else:
@@ -54,7 +54,7 @@ class SegmentCache:
 
     def ids(self, texts: Iterable[str]) -> list[bytes]:
         parted = [segments(t) for t in texts]
-        fresh = self.recent.missing(s for parts in parted for s in parts)
+        fresh = self.recent.missing(parted)
         known = self.recent.known
         known.update(zip(fresh, self.encode(fresh)))
         out = [b"".join(map(known.__getitem__, parts)) for parts in parted]
