@@ -278,6 +278,16 @@ def test_only_smaller_ids_remove(docs):
     assert substring.without_repeats(frame.limit(0)).count() == 0
 
 
+def test_spans_of_copies_spread_over_the_shards(docs):
+    text = " ".join(f"w{i}" for i in range(40))
+    frame = docs(*[text] * 200).selectExpr("doc_id AS _doc", "xxhash64(text) AS _content", "text AS _text")
+    settled = substring.dealt_windows(frame.coalesce(1)).filter("docs IS NULL")
+    sizes = [r["count"] for r in settled.groupBy("shard").count().collect()]
+    assert sum(sizes) == 199 and len(sizes) == 8 and max(sizes) < 80
+    got = by_id(substring.remove_repeats(docs(*[text] * 200)), "n_removed")
+    assert [got[i][0] for i in range(1, 201)] == [0] + [40] * 199
+
+
 # 10: BPE
 
 def _library():

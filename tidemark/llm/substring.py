@@ -10,7 +10,8 @@ windows pass the filter and are grouped for nothing, but none is lost.
 
 Within a block of text a window that several documents share is settled at once but for the
 smallest document; so a passage that half of all documents share reaches its group once per
-block, not once per document. Groups are sorted by hash, never paired.
+block, not once per document. What is settled needs no group and is dealt out by document, so the
+spans of many copies of one text spread over all groups. Groups are sorted by hash, never paired.
 """
 
 from __future__ import annotations
@@ -188,11 +189,9 @@ _FOUND = "shard int, doc bigint, content bigint, first binary, second binary, do
 _SPANS = "doc bigint, content bigint, at binary"
 
 
-def repeated_windows(texts: DataFrame, width: int = WIDTH, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc, content, spans): word positions of windows that also start in a smaller document.
-
-    ``texts`` has _doc (a number), _content (a hash of the text) and _text.
-    """
+def dealt_windows(texts: DataFrame, width: int = WIDTH, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of the second pass with their shard: per document the spans settled in its block
+    (docs is null), and per block and shard the windows still open."""
     small_batches(texts.sparkSession)
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     bits = int(min(max(math.ceil(math.log2(size / 3 + 1)), 10), max_bits))
@@ -215,8 +214,8 @@ def repeated_windows(texts: DataFrame, width: int = WIDTH, max_bits: int = MAX_B
             done = docs[owner] > low
             out: list[tuple] = []
             for o, positions in _by(owner[done], at[done]):
-                out.append((hash(int(content[o])) % shards, int(docs[o]), int(content[o]),
-                            None, None, None, _planes(positions)))
+                doc, text = int(docs[o]), int(content[o])
+                out.append((hash((doc, text)) % shards, doc, text, None, None, None, _planes(positions)))
             first, second, home, owner, at = (
                 x[~done] for x in (first, second, home, owner, at))
             shard = (_mix(home, 31) % np.uint64(shards)).astype(np.int64)
@@ -230,6 +229,14 @@ def repeated_windows(texts: DataFrame, width: int = WIDTH, max_bits: int = MAX_B
                             table.tobytes(), _planes(at[own])))
             yield _rows(out, _FOUND)
 
+    return texts.select("_doc", "_content", "_text").mapInArrow(find, _FOUND)
+
+
+def repeated_windows(texts: DataFrame, width: int = WIDTH, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc, content, spans): word positions of windows that also start in a smaller document.
+
+    ``texts`` has _doc (a number), _content (a hash of the text) and _text.
+    """
     def settle(table: pa.Table) -> pa.Table:
         rows = table.to_pydict()
         kept = [i for i, d in enumerate(rows["docs"]) if d is None]
@@ -250,7 +257,7 @@ def repeated_windows(texts: DataFrame, width: int = WIDTH, max_bits: int = MAX_B
                     out.append((int(doc[own[0]]), int(content[own[0]]), _planes(at[own])))
         return pa.Table.from_batches([_rows(out, _SPANS)])
 
-    return (texts.select("_doc", "_content", "_text").mapInArrow(find, _FOUND)
+    return (dealt_windows(texts, width, max_bits)
             .groupBy("shard").applyInArrow(settle, _SPANS)
             .groupBy("doc", "content").agg(F.collect_list("at").alias("spans")))
 
