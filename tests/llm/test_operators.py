@@ -151,6 +151,13 @@ def test_pieces_are_all_ids_and_fill_their_sequences(docs):
     assert packing.pack(docs("x").limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\u3000"])
+def test_long_blank_runs_have_the_tokenizers_ids(run):
+    text = "a b" + run * 2_000_000 + "c"
+    ids = Tokenizer.from_file(packing.TOKENIZER).encode(text, add_special_tokens=False).ids
+    assert packing.encoder(packing.TOKENIZER)(text) == np.array(ids, "<u4").tobytes()
+
+
 # 5: licence scans
 
 def test_notices_are_found_and_other_text_is_not(docs):

@@ -12,6 +12,7 @@ end, cut at the capacity, and the last bin at powers of two, so that those need
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -32,6 +33,9 @@ END = 0
 CAPACITY = 1024
 BLOCK = 2 << 20  # bytes of text whose pieces are sent on together
 WHOLE_FROM = 16  # pieces of this class and above are not cut further
+BLANKS = 50_000  # a run of so many blanks goes to the tokenizer; the rank encoder's stack ends below a million
+
+_LONG_BLANK = re.compile(rf"(?<!\s)\s{{{BLANKS}}}")
 
 Piece = tuple[object, int, bytes, int]  # document id, start, ids, tokens of the document
 
@@ -97,7 +101,8 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
     Where the file's merges make its tokens in the order of their ids, the merge rank of two tokens
     is the id of what they make, and the faster rank encoder gives the tokenizer's own ids. Texts
-    with the string of a special token, and other files, go to the tokenizer itself.
+    with the string of a special token or a long run of blanks, and other files, go to the
+    tokenizer itself.
     """
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_padding()
@@ -114,7 +119,7 @@ def encoder(path: str) -> Callable[[str], bytes]:
                               mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> bytes:
-        if any(s in text for s in special):
+        if any(s in text for s in special) or len(text) >= BLANKS and _LONG_BLANK.search(text):
             return slow(text)
         return np.array(quick.encode_ordinary(text), "<u4").tobytes()
 
