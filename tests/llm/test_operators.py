@@ -125,6 +125,31 @@ def test_toxic_words_are_learned_in_any_spelling(docs, spark):
     assert toxicity.score(asked.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.4, 0.5, 0.8])
+def test_toxic_words_are_learned_from_mostly_toxic_labels(docs, spark, share):
+    random.seed(4)
+    calm = ["".join(random.choices("bcdfgmnprt", k=6)) for _ in range(400)]
+    texts, labels = [], []
+    for i in range(600):
+        words = random.choices(calm, k=30)
+        toxic = i % 10 < 10 * share
+        if toxic or i % 20 == 19:  # in some clean texts as well
+            words[random.randrange(30)] = "moron"
+        texts.append(" ".join(words))
+        labels.append((i + 1, int(toxic)))
+    model = toxicity.learn(docs(*texts), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    asked = docs("you MORON there", "you m0r0n", "calm words", texts[8].replace("moron", "calm"), "", None)
+    got = by_id(toxicity.score(asked, model), "toxicity")
+    assert [got[i][0] >= 0.5 for i in range(1, 7)] == [True, True, *[False] * 4]
+
+
+def test_labels_that_tell_nothing_drop_nothing(docs, spark):
+    texts = [f"one text w{i}" for i in range(40)]
+    given = spark.createDataFrame([(i + 1, int(i % 4 > 0)) for i in range(40)], "doc_id long, toxic int")
+    model = toxicity.learn(docs(*texts), given)
+    assert all(s < 0.5 for (s,) in by_id(toxicity.score(docs(*texts), model), "toxicity").values())
+
+
 # 4: packing
 
 def test_pieces_are_all_ids_and_fill_their_sequences(docs):

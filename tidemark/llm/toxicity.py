@@ -160,8 +160,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
     """A model from labelled texts (label 1 or 0; others are left out).
 
     At most ``sample`` labelled ids are drawn, by hash of the id. Copies count once: of sampled
-    texts that share their smallest shingle hash one is used. Without both labels the lexicon is
-    empty and every score close to 0.
+    texts that share their smallest shingle hash one is used. Entries are told by odds, whatever
+    the share of label 1. Without both labels, or where no entry stands out, the lexicon is empty
+    and every score close to 0.
     """
     small_batches(docs.sparkSession)
     drawn = (labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
@@ -208,9 +209,12 @@ def _learned(told: DataFrame, sizes: dict[int, int], exceptions: Sequence[str])
 
     share = sizes[1] / (sizes[0] + sizes[1])
     least = math.ceil(math.log(CHANCE) / math.log(share))  # fewer toxic texts never suffice
-    likely = totals(count).filter((F.col("t") >= least) & (F.col("t") > 2 * share * (F.col("t") + F.col("c"))))
+    odds = (F.col("t") + 0.5) * (sizes[0] + 1) / ((F.col("c") + 0.5) * (sizes[1] + 1))
+    likely = totals(count).filter((F.col("t") >= least) & (odds > math.e))  # as _choose asks
     strongest = likely.orderBy(F.desc("t"), "name").limit(20 * LEXICON)
     weights = _choose([tuple(r) for r in strongest.collect()], sizes[1], sizes[0])
+    if not weights:
+        return Model()
     bare = Model(weights).key()
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +225,7 @@ def _learned(told: DataFrame, sizes: dict[int, int], exceptions: Sequence[str])
             yield _counted(toxic, clean)
 
     given = tuple(fold(e) for e in exceptions if fold(e).strip())
-    learned = () if not weights else tuple(
+    learned = tuple(
         r["name"] for r in totals(phrases).filter("c >= 3 AND c >= 4 * t")
         .orderBy(F.desc("c"), "name").limit(LEXICON).collect())
     model = Model(weights, (*given, *learned))
@@ -257,13 +261,19 @@ def _around(text: str, match: tuple[int, str, float]) -> list[str]:
 
 
 def _fit(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression on the two lengths of matched weight, by Newton's method."""
+    """Logistic regression on the two lengths of matched weight, by Newton's method.
+
+    Where label 1 is the larger one both count alike in all, or its share alone would call texts
+    toxic in which nothing matches.
+    """
+    toxic = y.sum()
+    count = np.where(y == 1, min(1.0, (len(y) - toxic) / max(toxic, 1)), 1.0)
     x = np.stack([np.ones(len(y)), a, b], axis=1)
     w = np.zeros(3)
     ridge = np.diag([1e-3, 1e-2, 1e-2])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((x.T * (count * p * (1 - p))) @ x + ridge, x.T @ (count * (y - p)) - ridge @ w)
         w += np.clip(step, -5, 5)
     w[1:] = np.maximum(w[1:], 0)  # more matched weight never lowers a score
     return tuple(map(float, w))
