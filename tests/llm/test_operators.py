@@ -198,6 +198,49 @@ def test_notices_are_found_and_other_text_is_not(docs):
     assert got[61] == ("MIT", 1) and got[62] == ("Apache-2.0, MIT", 2)
 
 
+GRANT = ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software "
+         "and associated documentation files (the \"Software\"), to deal\nin the Software without "
+         "restriction, including without limitation the rights\nto use, copy, modify, merge, publish, "
+         "distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the "
+         "Software is\nfurnished to do so, subject to the following conditions:")
+GPL = (" * This program is free software: you can redistribute it and/or modify\n * it under the terms of the "
+       "GNU General Public License as published by\n * the Free Software Foundation, either version {} of the "
+       "License, or\n * (at your option) any later version.")
+REAL = [
+    (GRANT, "MIT"), (GRANT.replace("\n", " "), "MIT"), (GPL.format(3), "GPL-3.0"), (GPL.format(2), "GPL-2.0"),
+    (GPL.format(3).replace("General", "Lesser General"), "LGPL-3.0"),
+    ("Copyright (c) 2021 Jane Doe. Released under the MIT License.", "MIT"),
+    ("The parser was written for a course and has been used in three more since then, with thanks to "
+     "all who helped. Released under the MIT License.", "MIT"),
+    ("Distributed under the MIT License. See LICENSE for more information.", "MIT"),
+    ("// SPDX-License-Identifier: MIT", "MIT"),
+    ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 License.", "CC-BY-SA-3.0"),
+    ("Licensed under the Apache License, Version 1.1.", None), ("The driver lost the license.", None),
+]
+
+
+def test_real_notices_are_told_apart(docs):
+    random.seed(7)
+    calm = ["".join(random.choices("abcdefgh", k=5)) for _ in range(200)]
+    plain = [" ".join(random.choices(calm, k=25)) for _ in range(60)]
+    frame = docs(*[t for t, _ in REAL], *plain)
+    got = by_id(license_scan.license_report(frame, license_scan.train(frame)), "licenses")
+    assert [got[i][0] for i in range(1, len(REAL) + 1)] == [f for _, f in REAL]
+    assert all(got[i] == (None,) for i in range(len(REAL) + 1, len(REAL) + 61))
+
+
+def test_notices_are_found_where_all_texts_have_one(docs):
+    frame = docs(*[f"{t}\n\nint f{i}(int x);" for i in range(12) for t, _ in REAL[:10]])
+    got = by_id(license_scan.license_report(frame, license_scan.train(frame)), "licenses", "n_notices")
+    assert [got[i] for i in range(1, 121)] == [(f, 1) for _ in range(12) for _, f in REAL[:10]]
+
+
+def test_no_notice_is_longer_than_a_step():
+    assert all(len(re.findall("[A-Za-z0-9.]+", t)) <= license_scan.STEP
+               for ts in license_scan.NOTICES.values() for t in ts)
+
+
 # 6: token counts
 
 def test_batches_count_once(docs, spark, tmp_path):
