@@ -6,7 +6,7 @@ import json
 import os
 
 import pytest
-from conftest import close_to, column, day, rows
+from helpers import close_to, column, day, rows
 from pyspark.sql import functions as F, types as T
 
 from tidemark import schemas, session

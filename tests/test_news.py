@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import close_to, column, rows
+from helpers import close_to, column, rows
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import words

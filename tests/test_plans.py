@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import day
+from helpers import day
 from pyspark.sql import functions as F
 
 from tidemark.checks.inputs import feed

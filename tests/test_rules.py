@@ -7,7 +7,7 @@ import html
 import random
 
 import pytest
-from conftest import close_to, column, day, rows
+from helpers import close_to, column, day, rows
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, display, safe, text

@@ -6,7 +6,7 @@ import math
 import random
 
 import pytest
-from conftest import close_to, column, day, rows
+from helpers import close_to, column, day, rows
 from pyspark.sql import Window, functions as F
 
 from tidemark.operators import series, split
