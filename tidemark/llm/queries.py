@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import work_dir
 from . import (
-    bpe, exact_dedup, license_scan, ngram_lm, packing, simhash, substring, token_rollup, topk, toxicity,
+    bpe, centroids, exact_dedup, fill_middle, license_scan, ngram_lm, packing, simhash, substring,
+    token_rollup, topk, toxicity, word_bpe,
 )
 from .common import documents, stored
 
@@ -86,6 +87,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return centroids.assignments(centroids.fit(vectors))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return fill_middle.digests(fill_middle.transform(docs))
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.round_trip(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk_search": op1_topk_search,
     "op2_lm_scoring": op2_lm_scoring,
@@ -97,8 +112,49 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_centroids": op11_centroids,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_word_bpe": op13_word_bpe,
 }
 
+
+def _clustering_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds one after another, each as a table of its centroids."""
+    assigned = """
+        SELECT vec_id, v, number, distance FROM (
+            SELECT x.rowid AS id, x.vec_id, x.v, c.number,
+                   list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(x.v, c.c)])::BIGINT
+                       AS distance,
+                   row_number() OVER (PARTITION BY x.rowid ORDER BY distance, c.number) AS place
+            FROM kept x, {centroids} c)
+        WHERE place = 1"""
+    steps = [f"""
+        kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS rowid, vec_id,
+                   [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            FROM embeddings WHERE len(embedding) = 64 AND len(
+                [x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)""", f"""
+        c0 AS MATERIALIZED (
+            SELECT v AS c, row_number() OVER (ORDER BY h) - 1 AS number
+            FROM (SELECT v, sha256('3:' || vec_id) AS h FROM kept ORDER BY h LIMIT {k}))"""]
+    for i in range(rounds):
+        steps.append(f"""
+        c{i + 1} AS MATERIALIZED (
+            SELECT number, coalesce(m.c, o.c) AS c FROM c{i} o LEFT JOIN (
+                SELECT number, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+                    SELECT number, i, sum(v[i])::BIGINT AS s, count(*) AS n
+                    FROM ({assigned.format(centroids=f'c{i}')}), range(1, 65) t(i)
+                    GROUP BY number, i) GROUP BY number) m USING (number))""")
+    return f"""
+        WITH {','.join(steps)},
+        done AS MATERIALIZED ({assigned.format(centroids=f'c{rounds}')})
+        SELECT vec_id, CAST(number AS INTEGER) AS cluster, distance,
+               CAST(sum(distance) OVER (PARTITION BY number) AS BIGINT) AS cluster_inertia,
+               CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM done JOIN c{rounds} USING (number)"""
+
+
 ORACLES: dict[str, str] = {
     "op1_topk_search": """
         WITH good AS (
@@ -131,4 +187,25 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM norm WINDOW same AS (PARTITION BY t)""",
+    "op11_centroids": _clustering_sql(),
+    "op12_fill_middle": """
+        WITH hashed AS (
+            SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+                   [CAST('0x' || substr(sha256('1:' || doc_id), 8 * i + 1, 8) AS BIGINT)
+                    FOR i IN range(4)] AS h FROM documents),
+        cut AS (
+            SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a,
+                   greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>')
+                             OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                        WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM hashed),
+        parts AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m,
+                         substr(t, b + 1) AS s FROM cut)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t
+                      WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM parts""",
 }
