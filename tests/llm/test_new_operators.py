@@ -1,0 +1,215 @@
+"""Clustering, fill-in-the-middle and word BPE against brute force, and on odd input."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from llm_help import by_id
+from tokenizers import Tokenizer
+
+from tidemark.llm import centroids, fill_middle, queries, word_bpe
+
+VECTORS = "vec_id long, embedding array<double>, label int"
+
+
+def _vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
+
+
+def _brute(rows, k, rounds, scale, n):
+    """Cluster, distance and centroid of each usable row, by plain integers."""
+    def whole(x):
+        return math.floor(x * scale)
+
+    kept = [(i, [whole(x) for x in v]) for i, v in rows
+            if v is not None and len(v) == n and all(
+                x is not None and math.isfinite(x) and math.isfinite(x * scale) for x in v)]
+
+    def key(r):
+        return hashlib.sha256(f"3:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]
+
+    means = [v for _, v in sorted(kept, key=key)[:k]]
+
+    def assign():
+        out = []
+        for i, v in kept:
+            d = [sum((a - b) ** 2 for a, b in zip(v, c)) for c in means]
+            out.append((i, v, d.index(min(d)), min(d)))
+        return out
+
+    for _ in range(rounds):
+        found = assign()
+        for c in range(len(means)):
+            mine = [v for _, v, own, _ in found if own == c]
+            if mine:
+                means[c] = [sum(col) // len(mine) for col in zip(*mine)]
+    found = assign()
+    spread = [sum(d for *_, c, d in found if c == j) for j in range(len(means))]
+
+    def fit(x):
+        return x if x < 1 << 63 else None
+
+    return sorted(((i, c, fit(d), fit(spread[c]), fit(sum(spread)),
+                    hashlib.sha256(",".join(map(str, means[c])).encode()).hexdigest())
+                   for i, v, c, d in found), key=repr)
+
+
+def _clustered(df, **how):
+    names = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return sorted((tuple(r) for r in centroids.assignments(centroids.fit(df, **how)).select(
+        *names).collect()), key=repr)
+
+
+def _sets(kind):
+    rnd = random.Random(kind)
+    if kind == "spread":
+        return [(i, [rnd.gauss(0, 1) for _ in range(4)]) for i in range(300)]
+    if kind == "ties":  # few different vectors, copies, shared and missing ids
+        return [(rnd.choice([None, 1, 2, 3, i]), [rnd.choice([-1.0, 0.0, 1.0]) for _ in range(4)])
+                for i in range(200)]
+    if kind == "copies":
+        return [(i, [0.5, 0.5, 0.5, 0.5]) for i in range(150)] + [
+            (1000 + i, [i / 7, -i / 3, 0.0, 1.0]) for i in range(60)]
+    if kind == "huge":
+        return [(i, [rnd.choice([1e-3, 1.0, 1e9, -1e20, 3e300]) for _ in range(4)]) for i in range(80)]
+    return [(1, None), (2, []), (3, [1.0, 2.0]), (4, [1.0, None, 2.0, 3.0]), (9, [1e308] * 4),
+            (5, [1.0, float("nan"), 2.0, 3.0]), (6, [1.0, float("inf"), 2.0, 3.0]),
+            (7, [1.0, 2.0, 3.0, 4.0]), (8, [1.0, 2.0, 3.0, 5.0])]
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "copies", "huge", "odd"])
+def test_clusters_equal_brute_force(spark, kind):
+    rows = _sets(kind)
+    got = _clustered(_vectors(spark, rows), k=5, rounds=4, scale=1024, dimensions=4, block=16)
+    assert got == _brute(rows, 5, 4, 1024, 4)
+
+
+def test_clusters_of_nothing(spark):
+    df = _vectors(spark, []).withColumnRenamed("label", "cluster")
+    assert _clustered(df, k=5, rounds=2, dimensions=4) == []
+
+
+def test_boxes_leave_out_no_nearest_centroid():
+    rng = np.random.default_rng(3)
+    left_out = 0
+    for spread in (1, 20, 400):
+        for _ in range(100):
+            rows = rng.integers(-1000, 1000, 6) + rng.integers(-spread, spread + 1, (40, 6))
+            points = rng.integers(-1000, 1000, (8, 6)).astype(float)
+            chosen = centroids.candidates(rows.min(0), rows.max(0), points)
+            all_of_them = np.arange(8)
+            assert (centroids.nearest(rows.astype(float), points, chosen)[0]
+                    == centroids.nearest(rows.astype(float), points, all_of_them)[0]).all()
+            left_out += 8 - len(chosen)
+    assert left_out > 1200
+
+
+def test_curve_visits_every_cell_by_single_steps():
+    for n, bits in ((2, 4), (3, 3)):
+        side = 1 << bits
+        cells = np.stack(np.meshgrid(*[np.arange(side)] * n, indexing="ij"), -1).reshape(-1, n)
+        keys = centroids.hilbert_keys(cells, bits)
+        order = np.lexsort(keys.T[::-1])
+        assert (np.abs(np.diff(cells[order], axis=0)).sum(1) == 1).all()
+
+
+def test_curve_makes_smaller_boxes_than_the_order_of_ids(spark):
+    rnd = random.Random(5)
+    middles = [[rnd.uniform(-0.4, 0.4) for _ in range(8)] for _ in range(20)]
+    rows = [(i, [m + rnd.gauss(0, 0.01) for m in middles[i % 20]]) for i in range(2000)]
+    model = centroids.fit(_vectors(spark, rows), k=8, rounds=1, dimensions=8, block=50)
+    boxes = [sum(h - lo for lo, h in zip(r.low, r.high)) for r in model.blocks.collect()]
+    assert sum(len(r.ids) for r in model.blocks.collect()) == 2000
+    assert sorted(boxes)[len(boxes) // 2] < 0.3 * 8 * 1024 * 0.8
+
+
+def _cut(text, doc_id, seed="1:"):
+    h = hashlib.sha256(f"{seed}{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * i:8 * i + 8], 16) for i in range(4))
+    n = len(text)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return n, "plain", None, None, text
+    p, m, s = text[:a], text[a:b], text[b:]
+    if h4 % 100 < 20:
+        return n, "spm", a, b - a, f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", a, b - a, f"<P>{p}<S>{s}<M>{m}"
+
+
+FIM_TEXTS = ["", None, "a", "x<P>y", "<S>", "$1\\2\n\r \x85", "🙂é\n\r $" * 700, "<P<S<M>" * 9,
+             "ab" * 500_000, "🙂" * 100_001, "\x00 \x00", "x" * 64, "x" * 65, ">", "<", "P>a<S"]
+
+
+@pytest.mark.parametrize("seed", ["1:", "2:", "3:", "4:"])
+def test_fill_middle_equals_slices(docs, seed):
+    rows = [(i, t) for i, t in enumerate(FIM_TEXTS)] + [(None, "abc")]
+    cut = fill_middle.transform(docs(*rows, form="'x'", output="1"), seed=seed)
+    got = by_id(cut, "n", "form", "prefix_chars", "middle_chars", "output")
+    assert got == {i: _cut(t or "", i, seed) for i, t in rows}
+    back = cut.select("doc_id", fill_middle.restore(cut["output"], cut["form"]).alias("text"))
+    assert {r.doc_id: r.text for r in back.collect()} == {i: t or "" for i, t in rows}
+
+
+def test_fill_middle_of_repeated_rows_and_nothing(docs):
+    cut = fill_middle.transform(docs((1, "abc"), (1, "abc"), (1, "wxyz"))).collect()
+    assert sorted(r.n for r in cut) == [3, 3, 4] and cut[0] == cut[1]
+    assert fill_middle.digests(fill_middle.transform(docs())).collect() == []
+
+
+@pytest.mark.parametrize("name", ["op11_centroids", "op12_fill_middle"])
+def test_new_queries_equal_their_twins(spark, sf_dir, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    got = queries.QUERIES[name](spark, sf_dir)
+    want = con.execute(queries.ORACLES[name])
+    columns = [c[0] for c in want.description]
+    assert sorted(map(tuple, got.select(*columns).collect()), key=repr) == sorted(
+        want.fetchall(), key=repr)
+
+
+def _random_texts():
+    rnd = random.Random(11)
+    wide = [(32, 127)] * 3 + [(0, 0x500), (0x500, 0xD800), (0xE000, 0x110000)]
+    out = ["".join(chr(rnd.randrange(*rnd.choice(wide))) for _ in range(200)) for _ in range(150)]
+    return out + ["".join(rnd.choice("abcdeABC' \n\t019.,!s") for _ in range(200)) for _ in range(150)]
+
+
+BPE_TEXTS = ["", None, "  \n ", "a", "It's <|startoftext|>x<|endoftext|> <|STARTOFTEXT|>y", "a" * 5000,
+             "ΟΔΟΣ ς Σ İ ß ﬁ éÉ ́", "日本語 한국어 שלום 🙂🙂 x\x85y\x1cz", "x" * 70_000 + " y" * 90_000,
+             "ab" * 300 + "'s'S'LL" + "!?" * 200]
+
+
+def test_word_bpe_equals_the_tokenizer(docs):
+    library = Tokenizer.from_file(word_bpe.VOCABULARY)
+    texts = BPE_TEXTS + _random_texts()
+    df = docs(*texts, ids="1")
+    want = {i: library.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(texts, 1)}
+    encoded = word_bpe.encode(df)
+    assert {i: r[0] for i, r in by_id(encoded, "ids").items()} == want
+    decoded = {i: r[0] for i, r in by_id(word_bpe.decode(encoded), "decoded").items()}
+    assert decoded == {i: library.decode(ids, skip_special_tokens=False) for i, ids in want.items()}
+    digests = by_id(word_bpe.round_trip(df), "n_tokens", "ids_sha256", "decoded_sha256")
+    assert digests == {i: (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                           hashlib.sha256(decoded[i].encode()).hexdigest()) for i, ids in want.items()}
+
+
+def test_rank_array_and_heap_agree():
+    merges = word_bpe.vocabulary_of(word_bpe.VOCABULARY).merges
+    rnd = random.Random(2)
+    words = ["".join(rnd.choice("aeinrst") for _ in range(rnd.randrange(1, 48))).encode()
+             for _ in range(2000)]
+    assert merges.encode(words) == merges._long(words)
+
+
+def test_word_bpe_of_repeated_rows_and_nothing(docs, spark):
+    df = docs((None, "ab"), (1, "ab"), (1, "ab"), (1, "c"))
+    assert sorted(r.n_tokens for r in word_bpe.round_trip(df).collect()) == [1, 1, 1, 1]
+    assert word_bpe.round_trip(docs()).collect() == []
+    unknown = spark.createDataFrame([(1, [0, 99_999, 1]), (2, None)], "doc_id long, ids array<int>")
+    assert by_id(word_bpe.decode(unknown), "decoded") == {1: ('! "',), 2: (None,)}
