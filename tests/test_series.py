@@ -124,40 +124,61 @@ def test_no_deviation_means_no_sharpe_ratio(spark, after):
     assert None not in got[2:552] and set(got[553:]) == {None}
 
 
-@pytest.mark.parametrize("days, length", [(50, 7), (200, 300), (100_000, 100_000)])
-def test_split_measures_equal_whole_ones(walk, days, length):
+@pytest.mark.parametrize("length", [7, 300, 100_000])
+def test_split_measures_equal_whole_ones(walk, length):
     def measure(df, key="ticker", order="date"):
         df = series.periodic_returns(series.moving_averages(df, key=key, order=order),
                                      key=key, order=order)
         return series.value_at_risk(df, key=key, order=order)
 
-    got = split.in_segments(walk, measure, slice_of=split.day_run(days=days),
-                            look_back=series.TRADING_DAYS, rows=length)
+    got = split.in_segments(walk, measure, look_back=series.TRADING_DAYS, rows=length)
     assert rows(got.select(*walk.columns, "sma_200", "12m_return", "var_95_252d")) == rows(
         measure(walk).select(*walk.columns, "sma_200", "12m_return", "var_95_252d"))
 
 
-@pytest.mark.parametrize("backfill", [True, False])
-def test_split_fill_equals_whole_fill(walk, backfill):
-    got = split.fill_split(walk, ["a", "b"], slice_of=split.day_run(days=30), backfill=backfill)
+@pytest.mark.parametrize("backfill, length", [(True, 7), (True, 200), (False, 50)])
+def test_split_fill_equals_whole_fill(walk, backfill, length):
+    got = split.fill_split(walk, ["a", "b"], rows=length, backfill=backfill)
     assert rows(got) == rows(series.fill(walk, ["a", "b"], backfill=backfill))
 
 
+def test_numbers_follow_key_and_order(walk):
+    got = split.numbered(walk).orderBy(split.NUMBER).collect()
+    assert [r[split.NUMBER] for r in got] == list(range(len(got)))
+    assert [(r.ticker, r.date) for r in got] == sorted((r.ticker, r.date) for r in got)
+
+
 def test_no_group_holds_more_than_a_segment(walk):
-    rows_, look_back = 100, 252
-    pieces = split.with_segments(
-        split.in_pieces(walk, "ticker", split.day_run(days=64)), "ticker", "date", rows_,
-        look_back)
-    sizes = pieces.groupBy("ticker", split.SEGMENT).count()
-    assert sizes.agg(F.max("count")).first()[0] <= rows_ + look_back
-    assert pieces.filter(split.OWN).count() == walk.count()
+    length, look_back = 100, 252
+    segments = split.with_segments(split.numbered(walk), "ticker", length, look_back)
+    sizes = segments.groupBy("ticker", split.SEGMENT).count()
+    assert sizes.agg(F.max("count")).first()[0] <= length + look_back
+    assert segments.filter(split.OWN).count() == walk.count()
+
+
+def test_one_key_is_dealt_evenly(spark):
+    """A key that holds nine tenths of the rows, all of one day: tasks stay even."""
+    df = spark.range(0, 40_000, numPartitions=8).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("T"), F.col("id") % 70)).otherwise("HOT")
+        .alias("ticker"),
+        F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("at"), F.lit(1.0).alias("close"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        measured = split.in_segments(df, lambda d, key, order: series.moving_averages(
+            d, [20], key=key, order=order), order="at", look_back=19, rows=200)
+        dealt = measured.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        sizes = sorted(r["count"] for r in dealt)
+        assert len(sizes) == 4 and sum(sizes) == 40_000
+        assert sizes[-1] <= 2 * sizes[1]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_split_keeps_rows_without_a_key(spark):
     df = spark.createDataFrame([(None, day(0), 1.0), (None, day(1), 3.0), ("A", None, 5.0)],
                                "ticker string, date date, close double")
     got = split.in_segments(df, lambda d, key, order: series.moving_averages(
-        d, [2], key=key, order=order), slice_of=split.day_run(days=1), look_back=1, rows=1)
+        d, [2], key=key, order=order), look_back=1, rows=1)
     assert sorted(r["sma_2"] for r in got.collect()) == [1.0, 2.0, 5.0]
 
 
@@ -186,7 +207,7 @@ def test_fact_has_one_row_per_price(spark, walk):
 
 def test_split_fact_equals_fact(spark, walk):
     feeds = _feeds(spark, walk)
-    got = silver.market_and_risk_split(*feeds, slice_of=split.day_run(days=100), rows=120)
+    got = silver.market_and_risk_split(*feeds, rows=120)
     assert _rounded(got) == _rounded(silver.market_and_risk(*feeds))
 
 

@@ -338,8 +338,7 @@ def q_fill_both(spark, d):
 
 @query
 def q_fill_both_split(spark, d):
-    return split.fill_split(_joined(spark, d), series.FILLED, slice_of=split.day_run(days=200)
-                            ).select(*FILL_KEYS)
+    return split.fill_split(_joined(spark, d), series.FILLED, rows=500).select(*FILL_KEYS)
 
 
 @query
@@ -357,22 +356,21 @@ def q_sma(spark, d):
 @query
 def q_sma_split(spark, d):
     px = feed(spark, d, "px").select("ticker", "date", "close")
-    return split.in_segments(px, series.moving_averages, slice_of=split.day_run(days=200),
-                             look_back=max(series.SMA_ROWS) - 1, rows=300)
+    return split.in_segments(px, series.moving_averages, look_back=max(series.SMA_ROWS) - 1,
+                             rows=5_000)
 
 
 @query
 def q_ticks_hot_key(spark, d):
-    """Five keys hold all rows: averages, returns and value at risk over bounded pieces."""
+    """Five keys hold all rows: averages, returns and value at risk over segments."""
     def measures(df, key, order):
         averaged = series.moving_averages(df, key=key, order=order)
         returned = series.periodic_returns(averaged, {"1d_return": 1, "12m_return": 252},
                                            key=key, order=order)
         return series.value_at_risk(returned, key=key, order=order)
 
-    return split.in_segments(
-        feed(spark, d, "ticks"), measures, order="seq",
-        slice_of=F.floor(F.col("seq") / 4096), look_back=series.TRADING_DAYS, rows=1000)
+    return split.in_segments(feed(spark, d, "ticks"), measures, order="seq",
+                             look_back=series.TRADING_DAYS, rows=1000)
 
 
 @query
@@ -422,8 +420,7 @@ def q_market_and_risk(spark, d):
 @query
 def q_market_and_risk_split(spark, d):
     return silver.market_and_risk_split(
-        feed(spark, d, "px"), _metrics(spark, d), _rates(spark, d),
-        slice_of=split.day_run(days=200), rows=300,
+        feed(spark, d, "px"), _metrics(spark, d), _rates(spark, d), rows=5_000,
     ).withColumns(_rounded("sharpe_ratio_252d"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..operators import series, split
 from ..schemas import METRICS
@@ -42,15 +42,14 @@ def market_and_risk(prices: DataFrame, metrics: DataFrame, rates: DataFrame,
 
 
 def market_and_risk_split(prices: DataFrame, metrics: DataFrame, rates: DataFrame,
-                          slice_of: Column | None = None, rows: int = 100_000,
-                          order: str = "date", backfill: bool = True) -> DataFrame:
-    """The same fact with no ticker held by one task, for series finer than a day."""
-    slices = split.day_run(order) if slice_of is None else slice_of
+                          rows: int = split.ROWS, order: str = "date",
+                          backfill: bool = True) -> DataFrame:
+    """The same fact with no ticker held by one task, for series finer than a day.
+
+    One shuffle by ranges, written, and one by segment, for fills and measures together.
+    """
     joined = series.attach_sparse(prices, metrics, rates)
-    filled = split.fill_pieces(
-        split.in_pieces(joined, "ticker", slices),
-        [c for c in series.FILLED if c in joined.columns], order=order, backfill=backfill)
-    # The joins neither add nor lose rows, so the prices alone tell how many there are.
-    counted = split.in_pieces(prices.select("ticker", order), "ticker", slices)
-    return _columns(split.measure_pieces(filled, _measures, key="ticker", order=order,
-                                         look_back=LOOK_BACK, rows=rows, counted=counted))
+    segments = split.with_segments(split.numbered(joined, "ticker", order), "ticker", rows, LOOK_BACK)
+    filled = split.fill_segments(segments, [c for c in series.FILLED if c in joined.columns],
+                                 order=order, backfill=backfill)
+    return _columns(split.own_rows(_measures(filled, key=split.PIECE, order=order)))
