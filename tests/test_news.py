@@ -181,6 +181,42 @@ def test_entities_match_their_own_texts(spark, max_terms):
     assert found.count() == 4
 
 
+@pytest.mark.parametrize("max_terms", [10, 0])
+def test_a_long_common_word_makes_no_candidates(spark, max_terms):
+    """All names and texts share the longest word; only texts with the rare one are searched."""
+    shared = "internationalcorporation"
+    texts = spark.createDataFrame(
+        [(i, f"{shared} w{i % 50} and {shared} {'' if i % 2 else 'x'} w{i % 10}") for i in range(400)],
+        "doc_id long, text string")
+    names = [(str(k), f"{shared} W{k}") for k in range(8)] + [("unseen", f"{shared} zzz")]
+    terms = match.search_terms(spark.createDataFrame(names, "ticker string, company_name string"))
+    tried = match.candidates(texts, terms, max_terms=max_terms).filter(
+        F.col("phrase") != F.col("anchor")).select("ticker", "doc_id")
+    having = {(str(k), i) for i in range(400) for k in range(8) if k in (i % 50, i % 10)}
+    assert sorted(map(tuple, tried.collect())) == sorted(having)
+    found = match.match_entities(texts, terms, max_terms=max_terms)
+    # What follows the shared word directly is w{i % 50}, or w{i % 10} where no x stands between.
+    assert sorted(map(tuple, found.select("ticker", "doc_id").collect())) == sorted(
+        (k, i) for k, i in having if int(k) == i % 50 or (i % 2 and int(k) == i % 10))
+
+
+def test_heavy_words_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(match, "HEAVY_USES", 20)
+    monkeypatch.setattr(match, "HEAVY_WORDS", 1000)
+    texts = spark.createDataFrame([(i, f"all of them {i % 3}") for i in range(200)],
+                                  "doc_id long, text string")
+    terms = match.search_terms(spark.createDataFrame(
+        [("A", "all"), ("B", "them 1"), ("C", "of 2")], "ticker string, company_name string"))
+    counts = match.word_counts(texts, terms, "text", False)
+    hits = texts.select(F.xxhash64("doc_id").alias("_row"), F.lit("all").alias("anchor"))
+    dealt, copied = match._salted(hits, match.anchored(terms, counts), counts)
+    assert dealt.select("_salt").distinct().count() == 10
+    assert copied.filter("phrase = 'all'").count() == 10
+    got = match.match_entities(texts, terms, max_terms=0)
+    assert sorted(map(tuple, got.collect())) == sorted(
+        [("A", i) for i in range(200)] + [("B", i) for i in range(200) if i % 3 == 1])
+
+
 def test_replies_of_the_wrong_kind_and_nan(spark):
     asked = spark.createDataFrame([("a",)], "x string")
     for reply in ({"extracted_news": []}, 5, None):
