@@ -273,10 +273,10 @@ def q_parse_rfc822(spark, d):
 
 @query
 def q_extract_html(spark, d):
-    pages = table(spark, d, "pages")
-    return pages.select("page_id", text.element_text("html", "title").alias("title"),
-                        text.element_text("html", "h1").alias("heading"),
-                        text.element_text("html", "h2", "description").alias("description"))
+    wanted = {"title": ("title", None), "heading": ("h1", None), "description": ("h2", "description")}
+    found = table(spark, d, "pages").select(
+        "page_id", text.element_texts("html", list(wanted.values())).alias("found"))
+    return found.select("page_id", *[F.get("found", F.lit(i)).alias(c) for i, c in enumerate(wanted)])
 
 
 @query
