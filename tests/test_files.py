@@ -93,6 +93,68 @@ def test_published_tables_answer_sql(spark, zones):
     assert spark.sql("SELECT close_price FROM served_chart_data").count() == 18
 
 
+def test_both_layouts_publish_the_same(spark, zones):
+    def published():
+        lakehouse.register_views(spark, zones)
+        return [rows(t) for t in (
+            spark.table("chart_data").select(*gold.CHART_COLUMNS), spark.table("snapshot"),
+            lakehouse.read_fact(spark, zones).select(*silver.FACT_COLUMNS),
+            lakehouse.chart_of(spark, zones, "0700"))]
+
+    lakehouse.build_silver(spark, zones)
+    lakehouse.build_gold(spark, zones)
+    folders = published()
+    lakehouse.build_silver(spark, zones, layout=lakehouse.CLUSTERED)
+    lakehouse.build_gold(spark, zones, lakehouse.CLUSTERED)
+    assert not read.exists(spark, f"{zones.published('chart_data')}/ticker=*")
+    assert published() == folders
+    lakehouse.build_chart(spark, zones)  # and back
+    assert not read.is_clustered(spark, zones.published("chart_data"))
+    assert published() == folders
+    with pytest.raises(ValueError):
+        lakehouse.build_chart(spark, zones, "heap")
+
+
+def test_clustered_table_opens_the_files_of_a_value(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, "HOT").otherwise((F.col("id") % 1000).cast("string"))
+        .alias("ticker"), F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    spark.conf.set("spark.sql.shuffle.partitions", 24)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        write.overwrite_clustered(df, path, ["ticker", "id"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    every = read.read_table(spark, path, df.schema)
+    assert len(every.inputFiles()) == 24
+    for ticker, most in (("7", 2), ("999", 2), ("HOT", 14)):
+        one = read.read_clustered(spark, path, "ticker", ticker, df.schema)
+        assert 1 <= len(one.inputFiles()) <= most
+        assert rows(one) == rows(every.filter(F.col("ticker") == ticker))
+    assert read.read_clustered(spark, path, "ticker", "ZZZ", df.schema).count() == 0
+    # A file that the ranges do not know of is read all the same.
+    spark.createDataFrame([("7", -1, "new")], df.schema).write.mode("append").parquet(path)
+    late = read.read_clustered(spark, path, "ticker", "7", df.schema)
+    assert late.filter("id = -1").count() == 1
+
+
+def test_news_once_per_key(spark, zones):
+    item = {"ticker": "0700", "title": "t9", "publication_date": "Thu, 29 Jan 2026 07:00:00 GMT"}
+    lines = [json.dumps(item | {"summary": s}) for s in ("b", "a")]
+    spark.createDataFrame([(s,) for s in lines], "value string").write.mode("append").text(
+        zones.raw("news_data") + "/ticker=0700/year=2026/month=01/day=30")
+
+    def titles(**how):
+        lakehouse.build_news(spark, zones, **how)
+        news = read.read_table(spark, zones.clean("news_data")).filter("title = 't9'")
+        return sorted(r.summary for r in news.collect())
+
+    assert titles() == ["a", "b"]
+    assert titles(news_keys=["ticker", "title", "publication_date"]) == ["a"]
+
+
 def test_wrong_header_is_an_error(spark, tmp_path):
     put(tmp_path, "ticker=A/x.csv", "Date,Open,High,Low,Close,Volume\n2026-01-01,1,2,3,4,5\n")
     with pytest.raises(Exception, match="header"):

@@ -464,4 +464,4 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["entity_match_long"] = ORACLES["entity_match"]
 ORACLES["lakehouse_snapshot"] = ORACLES["snapshot_gold"]
-ORACLES["lakehouse_chart"] = ORACLES["serve_chart"]
+ORACLES["lakehouse_chart"] = ORACLES["lakehouse_chart_clustered"] = ORACLES["serve_chart"]

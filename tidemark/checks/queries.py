@@ -633,9 +633,16 @@ def q_lakehouse_chart(spark, d):
     zones = _lake(spark, d)
     lakehouse.build_market_and_risk(spark, zones)
     lakehouse.build_chart(spark, zones)
-    chart_schema = T.StructType([silver.FACT[c] for c in gold.CHART_COLUMNS])
-    return serve.chart_of(
-        spark, read.read_table(spark, zones.published("chart_data"), chart_schema), CHART_TICKER)
+    return lakehouse.chart_of(spark, zones, CHART_TICKER)
+
+
+@query
+def q_lakehouse_chart_clustered(spark, d):
+    """The same out of sorted files: only those whose range holds the ticker are read."""
+    zones = _lake(spark, d)
+    lakehouse.build_market_and_risk(spark, zones, layout=lakehouse.CLUSTERED)
+    lakehouse.build_chart(spark, zones, lakehouse.CLUSTERED)
+    return lakehouse.chart_of(spark, zones, CHART_TICKER)
 
 
 # -- serving --------------------------------------------------------------------------------------

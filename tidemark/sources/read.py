@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas
 
+RANGES = "_ranges"  # beside a clustered table's files: the least and greatest first column of each
+
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One object or one array of objects per line; ``key=value`` folders become columns."""
@@ -77,6 +79,38 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def _file_names(spark: SparkSession, pattern: str) -> set[str]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return {f.getPath().getName() for f in found or ()}
+
+
+def is_clustered(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path}/{RANGES}/_SUCCESS")
+
+
+def read_clustered(spark: SparkSession, path: str, column: str, value: object,
+                   schema: T.StructType | None = None) -> DataFrame:
+    """The rows of one value out of a table written by ``write.overwrite_clustered``.
+
+    Only the files whose range holds the value are opened, as many as the value has rows for and
+    two more at most. Where the kept ranges are not those of the table's files, the whole table is
+    read and filtered by its own statistics.
+    """
+    whole = read_table(spark, path, schema).filter(F.col(column) == F.lit(value))
+    if not is_clustered(spark, path):
+        return whole
+    ranges = spark.read.parquet(f"{path}/{RANGES}")
+    known = {r.file: r.holds for r in ranges.select("file", F.lit(value).between(
+        F.col("low"), F.col("high")).alias("holds")).collect()}  # a row per file
+    if set(known) != _file_names(spark, f"{path}/*.parquet"):
+        return whole
+    files = sorted(f"{path}/{name}" for name, holds in known.items() if holds)
+    if not files:
+        return whole.limit(0)
+    return spark.read.schema(whole.schema).parquet(*files).filter(F.col(column) == F.lit(value))
+
+
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """A short static table, such as a list of companies."""
     return spark.createDataFrame(list(rows), schema)
