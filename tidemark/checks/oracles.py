@@ -11,9 +11,9 @@ from ..operators.series import FILLED, RETURN_LAGS, SMA_ROWS
 from ..operators.statements import EARNINGS_LINE, INFO_METRICS
 from ..plans.silver import FACT_COLUMNS, PRICE_COLUMNS, SMA_COLUMNS
 from ..schemas import METRICS
-from .inputs import feed_ctes
+from .inputs import TABLES, feed_ctes
 from .queries import (
-    CHART_TICKER, FIRST_RUN_DAY, NEGATIVE, POSITIVE, PROSE_NEGATIVE, PROSE_POSITIVE, RUN_DAY,
+    CHART_TICKER, CHARTED, FIRST_RUN_DAY, NEGATIVE, POSITIVE, PROSE_NEGATIVE, PROSE_POSITIVE, RUN_DAY,
     WANTED,
 )
 
@@ -465,3 +465,14 @@ ORACLES: dict[str, str] = {
 ORACLES["entity_match_long"] = ORACLES["entity_match"]
 ORACLES["lakehouse_snapshot"] = ORACLES["snapshot_gold"]
 ORACLES["lakehouse_chart"] = ORACLES["lakehouse_chart_clustered"] = ORACLES["serve_chart"]
+ORACLES["news_scored_retry"] = ORACLES["news_scored_service"]
+ORACLES["enrich_asof"] = ORACLES["enrich_asof_split"] = sql(f"""
+    select px.*, {", ".join(f"metrics.{_q(m)}" for m in METRICS)}, rates.risk_free_rate
+    from px asof left join metrics on px.ticker = metrics.ticker and px.date >= metrics.date
+         asof left join rates on px.date >= rates.date""", "px", "metrics", "rates")
+ORACLES["required_columns"] = " union all ".join(f"""
+    select '{t}' as name, missing, case when missing = '' then (select count(*) from {t}) end as rows
+    from (select coalesce(string_agg(c, ', ' order by c), '') as missing
+          from (select unnest([{_texts(CHARTED)}]) as c)
+          where c not in (select column_name from information_schema.columns
+                          where table_name = '{t}'))""" for t in TABLES)

@@ -13,7 +13,7 @@ from ..operators import clean, joins, match, news, pick, serve, series, split, s
 from ..plans import gold, ingest, lakehouse, silver
 from ..session import configure, work_dir
 from ..sources import read, write
-from .inputs import feed, table
+from .inputs import TABLES, feed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,7 @@ POSITIVE, NEGATIVE = ("purchase", "signup"), ("error",)
 PROSE_POSITIVE, PROSE_NEGATIVE = ("the", "la", "der", "el"), ("of", "de", "und", "que")
 RUN_DAY, FIRST_RUN_DAY = "2024-01-15", "2024-01-20"
 CHART_TICKER = "7"
+CHARTED = ("l_suppkey", "l_shipdate", "l_extendedprice")
 WANTED = ("1", "2", "3", "7", "42", "NONE.ID")
 
 
@@ -248,6 +249,12 @@ def q_dedup_by_key(spark, d):
                            [F.col("summary").asc_nulls_last()])
 
 
+@query
+def q_required_columns(spark, d):
+    """Which tables could be charted: what the others lack, and how many rows there are."""
+    return clean.column_report({t: table(spark, d, t) for t in TABLES}, CHARTED)
+
+
 @query
 def q_weekend_roll(spark, d):
     return clean.dated(feed(spark, d, "metrics_raw")).select(
@@ -346,6 +353,18 @@ def q_enrich_market(spark, d):
     return _enriched(spark, d)
 
 
+@query
+def q_enrich_asof(spark, d):
+    """Every trading day with the last snapshot and rate on it or before, whole."""
+    return series.enrich_asof(feed(spark, d, "px"), _metrics(spark, d), _rates(spark, d))
+
+
+@query
+def q_enrich_asof_split(spark, d):
+    return series.enrich_asof(feed(spark, d, "px"), _metrics(spark, d), _rates(spark, d),
+                              split_rows=5_000)
+
+
 # -- rolling measures -----------------------------------------------------------------------------
 
 @query
@@ -470,13 +489,12 @@ def q_news_scored(spark, d):
     return news.lexicon_news(_news(spark, d), POSITIVE, NEGATIVE)
 
 
-@query
-def q_news_scored_service(spark, d):
-    """The same picks through the pluggable scorer: JSON out, Arrow batches, JSON back."""
+def _service() -> Callable[[str], str]:
+    """Stands in for an outside service: one JSON text in, one JSON text out.
 
-    # Nested, so that it travels to the workers by value, with its word lists.
-    def make_scorer() -> Callable[[str], str]:
-        """Stands in for an outside service: one JSON text in, one JSON text out."""
+    Functions inside functions travel to the workers by value, with their word lists.
+    """
+    def score(payload: str) -> str:
         import json
         import re
 
@@ -486,14 +504,38 @@ def q_news_scored_service(spark, d):
             n = sum(w in NEGATIVE for w in found)
             return (p - n) / (p + n) if p + n else 0.0
 
-        def score(payload: str) -> str:
-            picked = [{**item, "sentiment_score": value(item)} for item in json.loads(payload)]
-            picked.sort(key=lambda i: -abs(i["sentiment_score"]))
-            return json.dumps({"extracted_news": picked})
+        picked = [{**item, "sentiment_score": value(item)} for item in json.loads(payload)]
+        picked.sort(key=lambda i: -abs(i["sentiment_score"]))
+        return json.dumps({"extracted_news": picked})
 
-        return score
+    return score
 
-    return news.scored_news(_news(spark, d), make_scorer)
+
+def _failing(service: Callable[[str], str], times: int) -> Callable[[str], str]:
+    """The service, refusing the first calls for each text."""
+    calls: dict[str, int] = {}
+
+    def score(payload: str) -> str:
+        calls[payload] = calls.get(payload, 0) + 1
+        if calls[payload] <= times:
+            raise ConnectionError(f"call {calls[payload]} refused")
+        return service(payload)
+
+    return score
+
+
+@query
+def q_news_scored_service(spark, d):
+    """The same picks through the pluggable scorer: JSON out, Arrow batches, JSON back."""
+    service = _service()
+    return news.scored_news(_news(spark, d), lambda: service)
+
+
+@query
+def q_news_scored_retry(spark, d):
+    """A scorer that fails twice for every text: with three attempts nothing is lost."""
+    service = news.with_retry(_failing(_service(), 2), attempts=3, sleep=lambda seconds: None)
+    return news.scored_news(_news(spark, d), lambda: service)
 
 
 @query

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,14 +15,38 @@ from .pick import keep_first
 PRICE_FIELDS = ("open", "high", "low", "close")
 
 
+def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
+    """The absent columns by name; no job runs."""
+    return sorted(set(required) - set(df.columns))
+
+
 def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     """``df`` itself, or an error naming the absent columns before any job runs."""
-    missing = sorted(set(required) - set(df.columns))
+    missing = missing_columns(df, required)
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     return df
 
 
+def column_report(tables: Mapping[str, DataFrame], required: Iterable[str]) -> DataFrame:
+    """(name, missing, rows) of each table: what it lacks, else how many rows it brings.
+
+    Tables that lack a column are not read.
+    """
+    needed = list(required)
+
+    def row(name: str, df: DataFrame) -> DataFrame:
+        absent = missing_columns(df, needed)
+        if not absent:
+            return df.groupBy().agg(F.lit(name).alias("name"), F.lit("").alias("missing"),
+                                    F.count(F.lit(1)).alias("rows"))
+        none = F.lit(None).cast("bigint").alias("rows")
+        return df.sparkSession.range(1).select(
+            F.lit(name).alias("name"), F.lit(", ".join(absent)).alias("missing"), none)
+
+    return reduce(DataFrame.unionByName, [row(*t) for t in tables.items()])
+
+
 def clean_profiles(raw: DataFrame) -> DataFrame:
     return raw.select(
         "ticker", "company_name",

@@ -10,6 +10,10 @@ from .pick import Keys, as_list
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_TEXT = 64 << 20  # bytes in all text columns
 
+CALENDAR = ("0001-01-01", "9999-12-31")
+FIXED_WIDTH = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date",
+               "timestamp", "timestamp_ntz"}
+
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
              max_text: int = MAX_BROADCAST_TEXT) -> bool:
@@ -39,12 +43,27 @@ def join_snapshots(series: DataFrame, snapshots: DataFrame,
     return series.join(snapshots, on=as_list(keys), how="left")
 
 
+def _by_day(side: DataFrame, on: str) -> DataFrame:
+    """A side of at most one row per day, marked for broadcast where its type bounds its size.
+
+    Dates of four-digit years are 3,652,059, and fixed-width columns take 8 bytes each at most, so
+    such a side needs no count. Days of other years, which no series here has, match nothing.
+    Sides with texts or other orders stay unmarked, and Spark compares sizes.
+    """
+    kinds = dict(side.dtypes)
+    if kinds[on] != "date" or not all(k in FIXED_WIDTH or k.startswith("decimal")
+                                      for k in kinds.values()):
+        return side
+    first, last = (F.lit(d).cast("date") for d in CALENDAR)
+    return F.broadcast(side.filter(F.col(on).between(first, last)))
+
+
 def join_global(series: DataFrame, values: DataFrame, on: str = "date") -> DataFrame:
     """Left join of a series that holds for all keys, at most one row per day."""
-    return series.join(broadcast_if_small(values), on=on, how="left")
+    return series.join(_by_day(values, on), on=on, how="left")
 
 
 def trading_days_only(series: DataFrame, benchmark: DataFrame, on: str = "date") -> DataFrame:
     """Rows of days on which the benchmark has a row."""
     days = benchmark.select(on).distinct()
-    return series.join(broadcast_if_small(days), on=on, how="left_semi")
+    return series.join(_by_day(days, on), on=on, how="left_semi")

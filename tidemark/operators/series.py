@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..functions.safe import ratio
 from ..schemas import METRICS
+from . import split
 from .joins import join_global, join_snapshots
 from .pick import Keys, as_list
 
@@ -100,6 +101,42 @@ def enrich_series(prices: DataFrame, metrics: DataFrame, rates: DataFrame,
     return fill(joined, [c for c in FILLED if c in joined.columns], backfill=backfill)
 
 
+def attach_asof(prices: DataFrame, snapshots: DataFrame, key: Keys = "ticker", order: str = "date",
+                split_rows: int | None = None) -> DataFrame:
+    """Every row with the columns of the last snapshot of its key on its own day or before.
+
+    No join by range: snapshots are put among the rows, before those of their own day, and the last
+    one is carried forward as a whole, nulls in it included. With ``split_rows`` no task holds more
+    of a key than so many rows.
+    """
+    keys = as_list(key)
+    values = [c for c in snapshots.columns if c not in (*keys, order)]
+    own = [c for c in prices.columns if c not in (*keys, order)]
+    known = snapshots.select(*keys, order, F.lit(0).alias("_side"), F.struct(*values).alias("_known"))
+    both = known.unionByName(
+        prices.select(*keys, order, F.lit(1).alias("_side"), F.struct(*own).alias("_row")),
+        allowMissingColumns=True).withColumn("_at", F.struct(order, "_side"))
+    filled = (forward_fill(both, ["_known"], key, "_at") if split_rows is None
+              else split.fill_split(both, ["_known"], key=key, order="_at", rows=split_rows,
+                                    backfill=False))
+    return filled.filter(F.col("_side") == 1).select(*keys, order, "_row.*", "_known.*")
+
+
+def attach_asof_global(prices: DataFrame, values: DataFrame, order: str = "date") -> DataFrame:
+    """The same for a series that holds for all keys: as of each day that has rows, then by day."""
+    days = prices.select(order).distinct().withColumn("_day", F.lit(0))
+    # A row per day of the calendar on either side, so one window may hold all of them.
+    return join_global(prices, attach_asof(days, values.withColumn("_all", F.lit(0)), [], order).drop(
+        "_day", "_all"), order)
+
+
+def enrich_asof(prices: DataFrame, metrics: DataFrame, rates: DataFrame,
+                split_rows: int | None = None) -> DataFrame:
+    """``enrich_series`` as of each day: a snapshot off the trading days counts from the next one on,
+    and none is carried backwards."""
+    return attach_asof_global(attach_asof(prices, metrics, split_rows=split_rows), rates)
+
+
 def _bases(rows: Sequence[int]) -> dict[int, int]:
     """For each frame length the longest shorter one it is a multiple of, or itself."""
     bases: dict[int, int] = {}
