@@ -1,0 +1,179 @@
+"""An updated fact is the fact that a build gives, and untouched folders keep their files."""
+
+from __future__ import annotations
+
+import datetime
+import glob
+import os
+import random
+import shutil
+
+import pytest
+from helpers import day, rows
+
+from tidemark.functions.dates import run_date_parts
+from tidemark.operators import clean, series
+from tidemark.plans import ingest, lakehouse, silver, update
+from tidemark.sources import write
+
+PRICE = "ticker string, date date, open double, high double, low double, close double, volume long"
+LAST = 300
+
+
+def _prices(spark, *cells):
+    return spark.createDataFrame(
+        [(t, day(n), c - 1.0, c + 1.0, c - 2.0, float(c), n + 1) for t, n, c in cells], PRICE)
+
+
+def _land_day(spark, zones, n, **closes):
+    prices = _prices(spark, *[(t, n, float(c)) for t, c in closes.items()])
+    ingest.land_daily_prices(prices, prices, zones, day(n))
+
+
+def _land_metric(spark, zones, ticker, n, value):
+    raw = spark.createDataFrame([(ticker, day(n), str(value), "4", "2")],
+                                "ticker string, at date, book_value string, "
+                                "shares_outstanding string, free_float string")
+    write.land(raw.withColumns(run_date_parts("at")).drop("at"), zones.raw("market_metrics"),
+               ["ticker", "year", "month", "day"], fmt="json")
+
+
+def _land_rate(spark, zones, n, value):
+    raw = spark.createDataFrame([(day(n), str(value))], "at date, risk_free_rate string")
+    write.land(raw.withColumns(run_date_parts("at")).drop("at"), zones.raw("risk_free_rate"),
+               ["year", "month", "day"], fmt="json")
+
+
+def _weekday(n, of=2):
+    """The first such day of the week from a day on."""
+    return next(i for i in range(n, n + 7) if day(i).weekday() == of)
+
+
+@pytest.fixture
+def zones(spark, tmp_path):
+    z = lakehouse.Zones(*(str(tmp_path / name) for name in ("bronze", "silver", "gold")))
+    rnd = random.Random(4)
+    ingest.land_history(_prices(spark, *[
+        (t, n, 50 + rnd.randrange(100)) for t in "ABCD" for n in range(LAST)
+        if t in "AC" or n % 3]), z)
+    for t in "ABD":
+        for n in (_weekday(10), _weekday(100), _weekday(200)):
+            _land_metric(spark, z, t, n, 10 + n)
+    for n in range(0, LAST, 30):
+        _land_rate(spark, z, _weekday(n), 0.05 + n / 10_000)
+    return z
+
+
+def _fact(spark, zones):
+    return rows(lakehouse.read_fact(spark, zones).select(*silver.FACT_COLUMNS))
+
+
+def _rebuilt(spark, zones):
+    other = lakehouse.Zones(zones.bronze, zones.silver + "-again", zones.gold)
+    lakehouse.build_market_and_risk(spark, other)
+    return _fact(spark, other)
+
+
+def _files(zones, *tickers):
+    return {f: os.stat(f).st_mtime_ns for t in tickers for f in glob.glob(
+        f"{zones.clean('market_and_risk')}/ticker={t}/*")}
+
+
+def test_updates_equal_builds(spark, zones, monkeypatch):
+    monkeypatch.setattr(update, "KEPT", silver.LOOK_BACK + 4)
+    lakehouse.build_market_and_risk(spark, zones)
+    update.keep_state(spark, zones)
+    built_anew = []
+    monkeypatch.setattr(update, "_anew", lambda s, z, f=update._anew: built_anew.append(1) or f(s, z))
+
+    # A day lands for some tickers, one of them new; the others' folders keep their files.
+    first = _weekday(LAST)
+    others = _files(zones, "B", "C")
+    assert others
+    _land_day(spark, zones, first, A=70, D=90, N=12)
+    _land_rate(spark, zones, first, 0.08)
+    _land_metric(spark, zones, "A", first, 99)
+    update.update_market_and_risk(spark, zones, day(first))
+    assert _fact(spark, zones) == _rebuilt(spark, zones)
+    assert _files(zones, "B", "C") == others
+
+    # The same day once more, with another price.
+    _land_day(spark, zones, first, A=71)
+    update.update_market_and_risk(spark, zones, day(first))
+    assert _fact(spark, zones) == _rebuilt(spark, zones)
+
+    # A ticker's first metric fills its earlier rows back; a row of an earlier day lands late.
+    second = first + 1
+    _land_day(spark, zones, second, A=75, C=33)
+    _land_metric(spark, zones, "C", second, 5)
+    _land_metric(spark, zones, "N", second, 6)
+    late = _prices(spark, ("B", first, 44.0))
+    ingest.land_daily_prices(late, late, zones, day(second))
+    update.update_market_and_risk(spark, zones, day(second))
+    assert _fact(spark, zones) == _rebuilt(spark, zones)
+
+    # More days than there are rows to spare.
+    for n in range(second + 1, second + 5):
+        _land_day(spark, zones, n, A=60 + n % 7, D=61)
+    update.update_market_and_risk(spark, zones, day(second + 1))
+    update.update_market_and_risk(spark, zones, day(first))
+    assert _fact(spark, zones) == _rebuilt(spark, zones)
+    assert not built_anew
+
+    # A ticker whose only rows are gone, and a day that the history covers: all is built anew.
+    shutil.rmtree(f"{zones.raw('market_data')}/ticker=N")
+    update.update_market_and_risk(spark, zones, day(first))
+    assert _fact(spark, zones) == _rebuilt(spark, zones)
+    update.update_market_and_risk(spark, zones, day(LAST - 5))
+    assert len(built_anew) == 2
+
+
+def test_update_reads_the_new_days_only(spark, zones):
+    _land_day(spark, zones, LAST, A=70)
+    _land_day(spark, zones, LAST + 1, A=71, B=5)
+    daily = update._daily_since(spark, zones, day(LAST + 1))
+    assert daily.count() == 2
+    text = daily._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(" in text and "DataFilters: []" in text
+
+
+def test_joins_by_day_start_no_job(spark):
+    """The size of a side of days is known from its type: nothing runs while the fact is planned."""
+    prices = _prices(spark, ("A", 0, 1.0), ("B", 1, 2.0))
+    metrics = spark.createDataFrame([("A", day(0), 3.0)], "ticker string, date date, book_value double")
+    rates = spark.createDataFrame([(day(0), 0.05)], "date date, risk_free_rate double")
+    spark.sparkContext.setJobGroup("planning", "")
+    try:
+        fact = silver.market_and_risk(prices, metrics, rates)
+        clean.union_prices(prices, prices)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+        fact.collect()
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "BroadcastHashJoin [date" in fact._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("split_rows", [None, 2])
+def test_as_of_takes_the_last_snapshot_whole(spark, split_rows):
+    prices = _prices(spark, *[(t, n, 1.0) for t in ("A", "B", None) for n in range(6)])
+    metrics = spark.createDataFrame(
+        [("A", day(1), 1.0, 2.0), ("A", day(3), None, 4.0), ("B", day(-1), 5.0, None),
+         (None, day(4), 8.0, 9.0), ("Z", day(0), 7.0, 7.0)],
+        "ticker string, date date, x double, y double")
+    rates = spark.createDataFrame([(day(2), 0.02), (day(9), 0.09)], "date date, risk_free_rate double")
+    got = series.enrich_asof(prices, metrics, rates, split_rows=split_rows)
+    assert got.columns[-3:] == ["x", "y", "risk_free_rate"]
+    values = {(r.ticker, (r.date - datetime.date(2026, 1, 1)).days): (r.x, r.y, r.risk_free_rate)
+              for r in got.collect()}
+    none, low = (None, None), {n: 0.02 if n >= 2 else None for n in range(6)}
+    want = {"A": [none, (1.0, 2.0), (1.0, 2.0), (None, 4.0), (None, 4.0), (None, 4.0)],
+            "B": [(5.0, None)] * 6, None: [none] * 4 + [(8.0, 9.0)] * 2}
+    assert values == {(t, n): (*v, low[n]) for t, vs in want.items() for n, v in enumerate(vs)}
+
+
+def test_report_of_columns(spark):
+    tables = {"whole": spark.createDataFrame([(1, 2)], "a int, b int"),
+              "lacking": spark.createDataFrame([(1,)], "a int")}
+    got = {tuple(r) for r in clean.column_report(tables, ["b", "a", "c"][:2]).collect()}
+    assert got == {("whole", "", 1), ("lacking", "b", None)}

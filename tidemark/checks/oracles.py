@@ -465,6 +465,7 @@ ORACLES: dict[str, str] = {
 ORACLES["entity_match_long"] = ORACLES["entity_match"]
 ORACLES["lakehouse_snapshot"] = ORACLES["snapshot_gold"]
 ORACLES["lakehouse_chart"] = ORACLES["lakehouse_chart_clustered"] = ORACLES["serve_chart"]
+ORACLES["lakehouse_update"] = ORACLES["market_and_risk"]
 ORACLES["news_scored_retry"] = ORACLES["news_scored_service"]
 ORACLES["enrich_asof"] = ORACLES["enrich_asof_split"] = sql(f"""
     select px.*, {", ".join(f"metrics.{_q(m)}" for m in METRICS)}, rates.risk_free_rate

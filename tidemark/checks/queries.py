@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from .. import schemas
 from ..functions import dates, safe, text
 from ..operators import clean, joins, match, news, pick, serve, series, split, statements
-from ..plans import gold, ingest, lakehouse, silver
+from ..plans import gold, ingest, lakehouse, silver, update
 from ..session import configure, work_dir
 from ..sources import read, write
 from .inputs import TABLES, feed, table
@@ -23,6 +23,7 @@ POSITIVE, NEGATIVE = ("purchase", "signup"), ("error",)
 PROSE_POSITIVE, PROSE_NEGATIVE = ("the", "la", "der", "el"), ("of", "de", "und", "que")
 RUN_DAY, FIRST_RUN_DAY = "2024-01-15", "2024-01-20"
 CHART_TICKER = "7"
+UPDATED_DAYS = 14
 CHARTED = ("l_suppkey", "l_shipdate", "l_extendedprice")
 WANTED = ("1", "2", "3", "7", "42", "NONE.ID")
 
@@ -635,15 +636,18 @@ def q_chart_gold(spark, d):
     return _chart(spark, d)
 
 
-def _lake(spark: SparkSession, d: str) -> lakehouse.Zones:
-    """Raw files as pulls land them: all of the history, and the newest day once more as a daily
-    run lands it."""
+def _lake(spark: SparkSession, d: str, history: Column | None = None) -> lakehouse.Zones:
+    """Raw files as pulls land them: all of the history, or the prices that ``history`` names, and
+    the newest day once more as a daily run lands it."""
     base = work_dir(spark, "lake")
     zones = lakehouse.Zones(f"{base}/bronze", f"{base}/silver", f"{base}/gold")
     px = feed(spark, d, "px")
-    ingest.land_history(px, zones)
-    newest = px.agg(F.max("date")).first()[0]
-    ingest.land_daily_prices(px.filter(F.col("date") == F.lit(newest)), px, zones, newest)
+    if history is None:
+        ingest.land_history(px, zones)
+        newest = px.agg(F.max("date")).first()[0]
+        ingest.land_daily_prices(px.filter(F.col("date") == F.lit(newest)), px, zones, newest)
+    else:
+        ingest.land_history(px.filter(history), zones)
     # A folder holds one snapshot per ticker and day.
     order = [F.col(c).desc_nulls_last() for c in ("src_id", "src_id2", *schemas.METRICS)]
     snapshots = pick.keep_first(feed(spark, d, "metrics_raw"), ["ticker", *schemas.RUN_DATE], order)
@@ -687,6 +691,26 @@ def q_lakehouse_chart_clustered(spark, d):
     return lakehouse.chart_of(spark, zones, CHART_TICKER)
 
 
+@query
+def q_lakehouse_update(spark, d):
+    """The last weeks' prices land day by day after a build; only the tickers they name are written."""
+    px = feed(spark, d, "px")
+    newest = px.agg(F.max("date")).first()[0]
+    since = newest - datetime.timedelta(days=UPDATED_DAYS)
+    recent = F.col("date") >= F.lit(since)
+    zones = _lake(spark, d, ~recent)
+    lakehouse.build_market_and_risk(spark, zones)
+    update.keep_state(spark, zones)
+    days = px.filter(recent).withColumns(dates.run_date_parts("date")).withColumn("Date", F.col("date"))
+    write.land(days.select("ticker", *schemas.RUN_DATE, "Date", *[
+        F.col(c).alias(c.capitalize()) for c in ("close", "high", "low", "open", "volume")]),
+        zones.raw("market_data"), ["ticker", *schemas.RUN_DATE], fmt="csv", tasks=_tasks(spark),
+        header=True)
+    update.update_market_and_risk(spark, zones, since)
+    return lakehouse.read_fact(spark, zones).select(*silver.FACT_COLUMNS).withColumns(
+        _rounded("sharpe_ratio_252d"))
+
+
 # -- serving --------------------------------------------------------------------------------------
 
 @query

@@ -25,20 +25,20 @@ FACT = T.StructType([
 LOOK_BACK = series.TRADING_DAYS
 
 
-def _measures(enriched: DataFrame, key="ticker", order: str = "date") -> DataFrame:
+def measures(enriched: DataFrame, key="ticker", order: str = "date") -> DataFrame:
     averaged = series.moving_averages(enriched, key=key, order=order)
     returned = series.periodic_returns(averaged, key=key, order=order)
     return series.valuation_ratios(series.risk_measures(returned, key=key, order=order))
 
 
-def _columns(df: DataFrame) -> DataFrame:
+def fact_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in FACT_COLUMNS if c in df.columns])
 
 
 def market_and_risk(prices: DataFrame, metrics: DataFrame, rates: DataFrame,
                     backfill: bool = True) -> DataFrame:
     """Cleaned prices, snapshots and rates to the fact; one shuffle by ticker for all windows."""
-    return _columns(_measures(series.enrich_series(prices, metrics, rates, backfill)))
+    return fact_columns(measures(series.enrich_series(prices, metrics, rates, backfill)))
 
 
 def market_and_risk_split(prices: DataFrame, metrics: DataFrame, rates: DataFrame,
@@ -52,4 +52,4 @@ def market_and_risk_split(prices: DataFrame, metrics: DataFrame, rates: DataFram
     segments = split.with_segments(split.numbered(joined, "ticker", order), "ticker", rows, LOOK_BACK)
     filled = split.fill_segments(segments, [c for c in series.FILLED if c in joined.columns],
                                  order=order, backfill=backfill)
-    return _columns(split.own_rows(_measures(filled, key=split.PIECE, order=order)))
+    return fact_columns(split.own_rows(measures(filled, key=split.PIECE, order=order)))
