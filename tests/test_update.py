@@ -140,7 +140,9 @@ def test_update_reads_the_new_days_only(spark, zones):
 def test_joins_by_day_start_no_job(spark):
     """The size of a side of days is known from its type: nothing runs while the fact is planned."""
     prices = _prices(spark, ("A", 0, 1.0), ("B", 1, 2.0))
-    metrics = spark.createDataFrame([("A", day(0), 3.0)], "ticker string, date date, book_value double")
+    metrics = spark.createDataFrame(
+        [("A", day(0), 3.0, 1, 2, 3)], "ticker string, date date, book_value double, "
+        "earnings long, shares_outstanding long, free_float long")
     rates = spark.createDataFrame([(day(0), 0.05)], "date date, risk_free_rate double")
     spark.sparkContext.setJobGroup("planning", "")
     try:
