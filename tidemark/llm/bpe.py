@@ -1,7 +1,6 @@
 """Byte-level BPE by replaying the merges over many words of the corpus at once.
 
-The distinct new words (matches of the split pattern) of a block, some thousands at a time, lie
-side by side as linked bytes. An inverted index leads from each pair of neighbours that can merge,
+The distinct new words (matches of the split pattern) of a block lie side by side as linked bytes. An inverted index leads from each pair of neighbours that can merge,
 by the rank of the merge, to the positions where it stands. Merges are applied in rank order, each
 at all its positions; only the two neighbours of a merged pair are looked up again, and new pairs
 enter the index.
@@ -13,20 +12,24 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .common import blocks, small_batches
-from .segments import Recent, SegmentCache
+from .segments import CACHED, Recent, segments
+from .word_bpe import Group
 
 WORDS = 300_000  # words that a Python worker keeps
 BLOCK = 4 << 20  # bytes of text whose new words are found together
-REPLAYED = 2_000  # new words of one replay: few enough for its lists to stay in a core's cache
+REPLAYED = 100_000  # new words of one replay
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -45,6 +48,18 @@ class _Pairs(dict):
         return found
 
 
+@dataclass
+class Line:
+    """Words side by side, by the place of each byte: what token starts there (-1 inside one), the
+    places of the neighbours, the rank of the pair with the next token, and the word's number."""
+
+    token: np.ndarray
+    following: np.ndarray
+    before: np.ndarray
+    rank: np.ndarray
+    word: np.ndarray
+
+
 class Merges:
     """The ranks of a vocabulary: token ids are ranks; any two neighbours whose bytes together
     are a token can merge, whatever pair the token was made of."""
@@ -56,6 +71,10 @@ class Merges:
         self.byte_pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)]
                                     for a in range(256)])
         self.pairs = _Pairs(ranks, self.tokens)
+        pairs = {ranks[t[:k]] << 20 | ranks[t[k:]]: i for t, i in ranks.items()
+                 for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.key_ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word."""
@@ -70,77 +89,91 @@ class Merges:
             done.update(zip(rest, self._merged(rest)))
         return [done[w] for w in words]
 
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        wanted = left << 20 | right
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.key_ranks[at], -1)
+
     def _merged(self, words: list[bytes]) -> list[bytes]:
         data = np.frombuffer(b"".join(words), np.uint8)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes)
         following, before = np.arange(1, len(data) + 1), np.arange(-1, len(data) - 1)
         following[ends - 1] = before[ends[:-1]] = -1
-        rank = self.byte_pairs[data[:-1], data[1:]]
-        rank[ends[:-1] - 1] = -1
-        token, following, before = (
-            a.tolist() for a in (self.byte_ids[data], following, before))
-        self._apply(_index(rank), token, following, before)
+        rank = np.append(self.byte_pairs[data[:-1], data[1:]], -1)  # of the pair that starts here
+        rank[ends - 1] = -1
+        line = Line(self.byte_ids[data], following, before, rank, np.repeat(np.arange(len(words)), sizes))
+        self._apply(line)
         # A merged token stands where its first byte stood, so tokens are still in order.
-        left = np.array(token)
-        alive = left >= 0
-        ids = left[alive].astype("<u4").tobytes()
+        alive = line.token >= 0
+        ids = line.token[alive].astype("<u4").tobytes()
         limits = (4 * np.cumsum(alive)[ends - 1]).tolist()
         return [ids[a:b] for a, b in zip([0, *limits], limits)]
 
-    def _apply(self, index: dict[int, list[int]], token: list[int], following: list[int],
-               before: list[int]) -> None:
-        """Every merge in rank order; a token that went into its left neighbour becomes -1."""
-        pairs = self.pairs
+    def _apply(self, line: Line) -> None:
+        """Every merge in rank order, at all its places at once; those of one word from the left."""
+        index = {r: [at] for r, at in _by_rank(np.arange(len(line.rank)), line.rank)}
         order = list(index)
         heapq.heapify(order)
         while order:
             r = heapq.heappop(order)
-            found = index.pop(r)
-            found.sort()
-            for i in found:
-                n, own = following[i], token[i]
-                if own < 0 or n < 0 or pairs[own << 20 | token[n]] != r:
-                    continue  # a neighbour has been merged meanwhile
-                token[i], token[n] = r, -1
-                after = following[i] = following[n]
-                left = before[i]
-                at_left = at_right = -1
-                if after >= 0:
-                    before[after] = i
-                    at_right = pairs[r << 20 | token[after]]
-                if left >= 0:
-                    at_left = pairs[token[left] << 20 | r]
-                if 0 <= at_left < r or 0 <= at_right < r:
-                    # due at once, before what is left of this rank in the word
-                    self._finish(token, following, before, i)
-                    continue
-                for at, new in ((left, at_left), (i, at_right)):
-                    if new < 0:
-                        continue
+            found = np.sort(np.concatenate(index.pop(r)))
+            found = found[np.append(True, found[1:] != found[:-1])]
+            while len(found := found[line.rank[found] == r]):  # else a neighbour has been merged
+                word = line.word[found]
+                first = np.append(True, word[1:] != word[:-1])
+                for new, places in self._merge(line, found[first], r):
                     if new in index:
-                        index[new].append(at)
+                        index[new].append(places)
                     else:
-                        index[new] = [at]
+                        index[new] = [places]
                         heapq.heappush(order, new)
-
-    def _finish(self, token: list[int], following: list[int], before: list[int], at: int) -> None:
+                found = found[~first]
+
+    def _merge(self, line: Line, at: np.ndarray, r: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Merge the pairs at some places of different words; gives the new pairs' ranks and places."""
+        gone = line.following[at]
+        after, left = line.following[gone], line.before[at]
+        line.token[at], line.token[gone], line.rank[gone], line.following[at] = r, -1, -1, after
+        has_after, has_left = np.flatnonzero(after >= 0), np.flatnonzero(left >= 0)
+        line.before[after[has_after]] = at[has_after]
+        right_rank, left_rank = np.full(len(at), -1), np.full(len(at), -1)
+        right_rank[has_after] = self.rank_of(
+            np.full(len(has_after), r), line.token[after[has_after]])
+        left_rank[has_left] = self.rank_of(line.token[left[has_left]], np.full(len(has_left), r))
+        line.rank[at] = right_rank
+        line.rank[left[has_left]] = left_rank[has_left]
+        due = ((right_rank >= 0) & (right_rank < r)) | ((left_rank >= 0) & (left_rank < r))
+        if due.any():  # at once, before what is left of this rank in the word
+            for i in at[due].tolist():
+                self._finish(line, i)
+            right_rank[due] = left_rank[due] = -1
+        return _by_rank(np.concatenate([left, at]), np.concatenate([left_rank, right_rank]))
+
+    def _finish(self, line: Line, at: int) -> None:
         """Apply what is left to the word of a position, lowest rank and leftmost first."""
-        while before[at] >= 0:
-            at = before[at]
-        while True:
-            best, where, i = None, -1, at
-            while (n := following[i]) >= 0:
-                r = self.pairs[token[i] << 20 | token[n]]
-                if r >= 0 and (best is None or r < best):
-                    best, where = r, i
-                i = n
-            if best is None:
-                return
-            n = following[where]
-            token[where], token[n] = best, -1
-            following[where] = following[n]
-            if following[where] >= 0:
-                before[following[where]] = where
+        while line.before[at] >= 0:
+            at = int(line.before[at])
+        places = [at]
+        while (n := int(line.following[places[-1]])) >= 0:
+            places.append(n)
+        tokens = line.token[places].tolist()
+        while len(tokens) > 1:
+            ranks = [self.pairs[a << 20 | b] for a, b in zip(tokens, tokens[1:])]
+            best = min((r for r in ranks if r >= 0), default=-1)
+            if best < 0:
+                break
+            i = ranks.index(best)
+            tokens[i:i + 2] = [best]
+            line.token[places.pop(i + 1)] = -1
+        line.token[places] = tokens
+        line.rank[line.word == line.word[at]] = -1
+
+    def spellings(self) -> tuple[pa.Array, pa.Array]:
+        """Each id in decimal after a comma, and its bytes."""
+        ids = range(max(self.tokens) + 1)
+        return (pa.array([b",%d" % i for i in ids], pa.large_binary()),
+                pa.array([self.tokens.get(i, b"") for i in ids], pa.large_binary()))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -150,14 +183,15 @@ class Merges:
         return self.decode(np.frombuffer(ids, "<u4").tolist())
 
 
-def _index(rank: np.ndarray) -> dict[int, list[int]]:
-    """Where each rank stands, -1 left out."""
-    at = np.flatnonzero(rank >= 0)
-    at = at[np.argsort(rank[at], kind="stable")]
-    distinct, begins = np.unique(rank[at], return_index=True)
-    limits = [*begins.tolist(), len(at)]
-    at = at.tolist()
-    return {r: at[a:b] for r, a, b in zip(distinct.tolist(), limits, limits[1:])}
+def _by_rank(places: np.ndarray, ranks: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each rank with its places, -1 left out."""
+    order = np.argsort(ranks, kind="stable")
+    order = order[np.searchsorted(ranks[order], 0):]
+    ranks, places = ranks[order], places[order]
+    cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+    begins = [0, *cuts.tolist()] if len(ranks) else []
+    return ((r, places[a:b]) for r, a, b in zip(
+        ranks[np.array(begins, np.int64)].tolist(), begins, [*begins[1:], len(ranks)]))
 
 
 @lru_cache(maxsize=2)
@@ -166,27 +200,73 @@ def merges_of(path: str) -> Merges:
         return Merges({base64.b64decode(t): int(r) for t, r in map(bytes.split, f)})
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str, pattern: str) -> SegmentCache:
-    """One per Python worker; words of new segments are replayed together."""
-    merges, split = merges_of(path), regex.compile(pattern)
+class Words(Group):
+    """Segments of texts with their ids; what tokens stand for is bytes."""
+
+    def spelled(self, tokens: pa.Array) -> list[pa.Buffer]:
+        nothing = pa.scalar(b"", tokens.type)
+        segment = pc.binary_join(self._lists(self.id_ends, tokens.take(pa.array(self.ids))), nothing)
+        texts = pc.binary_join(self._lists(self.ends, segment.take(self.word)), nothing)
+        return [t.as_buffer() for t in texts]
+
 
-    recent = Recent(WORDS)
+class Encoder:
+    """Segments of texts to ids; one per Python worker, which keeps the segments and the words it
+    met lately. What is new in a block of texts is replayed together."""
 
-    def encode(parts: list[str]) -> list[bytes]:
-        words = list(map(split.findall, parts))
-        new = recent.missing(words)
+    def __init__(self, merges: Merges, pattern: str):
+        self.merges, self.split = merges, regex.compile(pattern)
+        self.segments, self.words = Recent(CACHED), Recent(WORDS)
+
+    def _replayed(self, parts: list[str]) -> list[bytes]:
+        words = [[p] if p.isalpha() or p[:1] == " " and p[1:].isalpha() else self.split.findall(p)
+                 for p in parts]  # letters alone, after one space, are one match
+        new, known = self.words.missing(words), self.words.known
         for start in range(0, len(new), REPLAYED):
             part = new[start:start + REPLAYED]
-            recent.known.update(zip(part, merges.packed([w.encode() for w in part])))
-        return [b"".join(map(recent.known.__getitem__, ws)) for ws in words]
+            known.update(zip(part, self.merges.packed([w.encode() for w in part])))
+        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+
+    def groups(self, texts: list[str]) -> Iterator[Words]:
+        """The texts in order, so many at a time as make a block."""
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            held.append((i, segments(text)))
+            size += len(text)
+            if size >= BLOCK or i + 1 == len(texts):
+                yield self._group(held)
+                held, size = [], 0
+
+    def _group(self, held: list[tuple[int, list[str]]]) -> Words:
+        coded = pa.array(chain.from_iterable(parts for _, parts in held),
+                         pa.large_string()).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new, known = self.segments.missing([distinct]), self.segments.known
+        known.update(zip(new, self._replayed(new)))
+        packed = list(map(known.__getitem__, distinct))
+        for _, parts in held:  # whole texts are not kept
+            if len(parts) == 1:
+                known.pop(parts[0], None)
+        return Words([i for i, _ in held], np.cumsum([len(parts) for _, parts in held]),
+                     coded.indices, np.frombuffer(b"".join(packed), "<i4"),
+                     np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed))) // 4)
+
 
-    return SegmentCache(encode)
+@lru_cache(maxsize=2)
+def encoder(path: str, pattern: str) -> Encoder:
+    return Encoder(merges_of(path), pattern)
+
+
+def _strings(part: pa.RecordBatch) -> list[str]:
+    return ["" if t is None else t for t in part.column("_text").to_pylist()]
 
 
 def _encoded(part: pa.RecordBatch, path: str, pattern: str) -> list[bytes]:
-    texts = ["" if t is None else t for t in part.column("_text").to_pylist()]
-    return encoder(path, pattern).ids(texts)
+    out = [b""] * part.num_rows
+    for group in encoder(path, pattern).groups(_strings(part)):
+        for i, ids in zip(group.text, group.ids_of_chunks()):
+            out[i] = ids.astype("<u4").tobytes()
+    return out
 
 
 def _texts(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, str]:
@@ -229,33 +309,20 @@ def decode(encoded: DataFrame, path: str = RANKS, id_col: str = "doc_id") -> Dat
         "_doc", id_col)
 
 
-class _Decimals(dict):
-    def __missing__(self, number: int) -> str:
-        text = self[number] = str(number)
-        return text
-
-
-_decimals = _Decimals()
 _DIGESTS = "_doc {}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def _digested(doc: pa.Array, ids: list[bytes], decoded: list[bytes]) -> pa.RecordBatch:
-    hashes = []
-    for packed in ids:
-        numbers = map(_decimals.__getitem__, np.frombuffer(packed, "<u4").tolist())
-        hashes.append(hashlib.sha256(",".join(numbers).encode()).hexdigest())
-    return pa.RecordBatch.from_arrays(
-        [doc, pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(hashes, pa.string()),
-         pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string())],
-        ["_doc", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-
 def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, "ids"):
-            yield _digested(part.column("_doc"), part.column("ids").to_pylist(),
-                            part.column("decoded").to_pylist())
+            ids = [np.frombuffer(i, "<u4").tolist() for i in part.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("_doc"), pa.array(list(map(len, ids)), pa.int64()),
+                 pa.array([hashlib.sha256(",".join(map(str, i)).encode()).hexdigest() for i in ids]),
+                 pa.array([hashlib.sha256(d).hexdigest()
+                           for d in part.column("decoded").to_pylist()])],
+                ["_doc", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     source = decoded.select(F.col(id_col).alias("_doc"), "ids", "decoded")
     kind = source.schema["_doc"].dataType.simpleString()
@@ -264,13 +331,22 @@ def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN,
                id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The digests of ``decode(encode(docs))`` in one pass: ids and bytes stay in the task."""
+    """(id, n_tokens, ids_sha256, decoded_sha256): hashes of the ids in decimal, joined by commas, and
+    of the decoded bytes, as ``decode(encode(docs))`` has them; both stay in the task."""
     small_batches(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = merges_of(path)
+        decimals, spelled = merges_of(path).spellings()
         for part in blocks(batches, "_text", BLOCK):
-            ids = _encoded(part, path, pattern)
-            yield _digested(part.column("_doc"), ids, list(map(merges.unpacked, ids)))
+            rows = [None] * part.num_rows
+            for group in encoder(path, pattern).groups(_strings(part)):
+                for i, ids, numbers, decoded in zip(
+                        group.text, group.ids_of_chunks(), group.spelled(decimals),
+                        group.spelled(spelled)):
+                    rows[i] = (len(ids), hashlib.sha256(memoryview(numbers)[1:]).hexdigest(),
+                               hashlib.sha256(decoded).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("_doc"), *map(pa.array, zip(*rows))],
+                ["_doc", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     source, kind = _texts(docs, id_col, text)
     return source.mapInArrow(run, _DIGESTS.format(kind)).withColumnRenamed("_doc", id_col)
