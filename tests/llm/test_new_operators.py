@@ -12,7 +12,7 @@ import pytest
 from llm_help import by_id
 from tokenizers import Tokenizer
 
-from tidemark.llm import centroids, fill_middle, queries, word_bpe
+from tidemark.llm import centroids, fill_middle, queries, substring, word_bpe
 
 VECTORS = "vec_id long, embedding array<double>, label int"
 
@@ -213,3 +213,13 @@ def test_word_bpe_of_repeated_rows_and_nothing(docs, spark):
     assert word_bpe.round_trip(docs()).collect() == []
     unknown = spark.createDataFrame([(1, [0, 99_999, 1]), (2, None)], "doc_id long, ids array<int>")
     assert by_id(word_bpe.decode(unknown), "decoded") == {1: ('! "',), 2: (None,)}
+
+
+def test_long_words_of_two_letters_are_told_apart(docs):
+    """Words after the sequence that polynomials modulo 2^64 cannot tell from its complement."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = word.translate(str.maketrans("ab", "ba"))
+    lead = " ".join(f"w{i}" for i in range(12))
+    df = docs(f"{lead} {word}", f"{lead} {other}", f"{lead} {word}")
+    assert by_id(substring.remove_repeats(df), "n_words", "n_removed") == {
+        1: (13, 0), 2: (13, 0), 3: (13, 13)}

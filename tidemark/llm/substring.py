@@ -36,7 +36,6 @@ SHARD_BYTES = 4 << 20  # text whose windows one group of the second pass holds,
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
 _BASES = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
-_INVERSE = np.uint64(pow(int(_BASES[0]), -1, 1 << 64))
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -47,10 +46,17 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Two independent hashes of each word: sums of what its bytes mix to with their places in it.
+
+    A place changes what a byte gives beyond any rule, so no two words agree by their structure, as
+    words can under polynomials modulo 2^64.
+    """
+    sizes = ends - starts
+    limits = np.cumsum(sizes)
+    at = np.arange(limits[-1]) - np.repeat(limits - sizes, sizes)
+    letters = (at.astype(np.uint64) << np.uint64(8)) | data[np.repeat(starts, sizes) + at]
+    return [np.add.reduceat(_mix(letters, seed), limits - sizes) for seed in (31, 47)]
 
 
 def windows(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
@@ -66,11 +72,7 @@ def windows(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
     if len(starts) < width:
         none = np.zeros(0, np.uint64)
         return none, none, none, none.astype(np.int64), none.astype(np.int64)
-    # Words by polynomials from prefix sums: of the difference of two sums, moved to the origin.
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data + np.uint64(1)) * _powers(_BASES[0], len(data)), out=sums[1:])
-    words = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(data))[starts]
-    del sums
+    words, others = _word_hashes(data, starts, ends)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     begins = np.cumsum(sizes + 1) - sizes - 1
     owner = np.searchsorted(begins, starts, side="right") - 1
@@ -78,8 +80,8 @@ def windows(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
     n = len(words) - width + 1
     whole = np.flatnonzero(owner[:n] == owner[width - 1:])
     hashes = []
-    for lane, base in enumerate(_BASES):
-        mixed = _mix(words, lane + 1)
+    for lane, (base, own) in enumerate(zip(_BASES, (words, others))):
+        mixed = _mix(own, lane + 1)
         total = np.zeros(n, np.uint64)
         for i in range(width):
             total = total * base + mixed[i:n + i]
