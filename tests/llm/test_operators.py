@@ -9,6 +9,7 @@ import math
 import random
 import re
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
@@ -225,10 +226,28 @@ def test_real_notices_are_told_apart(docs):
     calm = ["".join(random.choices("abcdefgh", k=5)) for _ in range(200)]
     plain = [" ".join(random.choices(calm, k=25)) for _ in range(60)]
     frame = docs(*[t for t, _ in REAL], *plain)
-    got = by_id(license_scan.license_report(frame, license_scan.train(frame)), "licenses")
+    model = license_scan.train(frame)
+    got = by_id(license_scan.license_report(frame, model), "licenses")
     assert [got[i][0] for i in range(1, len(REAL) + 1)] == [f for _, f in REAL]
     assert all(got[i] == (None,) for i in range(len(REAL) + 1, len(REAL) + 61))
 
+    # What the classifier refuses does not stand, however much of a notice is there.
+    refusing = replace(model, least=1.1)
+    none = by_id(license_scan.license_report(frame, refusing), "licenses", "n_unknown")
+    assert all(none[i] == (None, 1) for i in range(1, len(REAL) + 1))
+
+    # What is confirmed holds half of the word pairs of a notice, counted in Python.
+    def pairs(text):
+        found = [w.strip(".") for w in re.findall("[a-z0-9.]+", text.lower()) if w.strip(".")]
+        return set(zip(found, found[1:]))
+
+    rows = license_scan.scan(frame, model).filter("similarity IS NOT NULL").collect()
+    assert len(rows) == sum(f is not None for _, f in REAL)
+    for row in rows:
+        text = pairs(REAL[row.doc_id - 1][0])
+        share = max(len(pairs(n) & text) / len(pairs(n)) for n in license_scan.NOTICES[row.family])
+        assert row.similarity == pytest.approx(share) and share >= license_scan.ALIKE
+
 
 def test_notices_are_found_where_all_texts_have_one(docs):
     frame = docs(*[f"{t}\n\nint f{i}(int x);" for i in range(12) for t, _ in REAL[:10]])
@@ -236,6 +255,27 @@ def test_notices_are_found_where_all_texts_have_one(docs):
     assert [got[i] for i in range(1, 121)] == [(f, 1) for _ in range(12) for _, f in REAL[:10]]
 
 
+def test_signs_stand_in_every_notice():
+    for family, notices in license_scan.NOTICES.items():
+        for notice in notices:
+            said = " " + " ".join(w.strip(".") for w in re.findall("[a-z0-9.]+", notice.lower())) + " "
+            if re.search(license_scan.TELLING[family], said):
+                assert re.search(license_scan.SIGNS, notice.lower()), notice
+
+
+def test_licences_of_odd_input(docs, spark):
+    frame = docs("Released under the MIT License.", "x " * 100_000 + "Released under the MIT License.", "", None,
+                 _words="'a'", family="'b'")
+    model = license_scan.train(frame)
+    twice = frame.unionByName(frame.filter("doc_id = 1")).unionByName(
+        frame.filter("doc_id = 1").withColumn("doc_id", F.lit(None).cast("bigint")))
+    got = sorted(tuple(r) for r in license_scan.license_report(twice, model).select(
+        F.coalesce("doc_id", F.lit(-1)), "licenses", "n_notices").collect())
+    assert got == [(-1, "MIT", 1), (1, "MIT", 1), (1, "MIT", 1), (2, "MIT", 1), (3, None, 0), (4, None, 0)]
+    assert license_scan.license_report(frame.limit(0), model).count() == 0
+    assert license_scan.train(frame.limit(0)).least >= 0.5
+
+
 def test_no_notice_is_longer_than_a_step():
     assert all(len(re.findall("[A-Za-z0-9.]+", t)) <= license_scan.STEP
                for ts in license_scan.NOTICES.values() for t in ts)
