@@ -101,6 +101,11 @@ def test_scores_against_counts(docs):
     assert ngram_lm.score(frame.limit(0), held).count() == 0
 
 
+def test_no_text_is_likelier_than_certain(docs):
+    got = by_id(ngram_lm.score(docs(*["a"] * 1000), F.lit(False)), "score")
+    assert all(-0.1 < s <= 0 for s, in got.values())
+
+
 # 3: toxicity
 
 def test_toxic_words_are_learned_in_any_spelling(docs, spark):

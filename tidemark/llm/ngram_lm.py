@@ -393,7 +393,8 @@ def _scored(row: dict, shards: int, frequent: np.ndarray, n: int, v: int, streng
     for part in row["codes"]:
         codes[own[part["shard"]]] = np.frombuffer(part["codes"], np.uint8)
     single = (counts + ADD) / (n + ADD * (v + 1))
-    both = share_of(codes) + strength / (counts[context] + strength) * single[word]
+    # A share near one may have been rounded up.
+    both = np.minimum(share_of(codes) + strength / (counts[context] + strength) * single[word], 1.0)
     _, token, _ = block.pairs()
     texts = len(block.sizes)
     return pa.RecordBatch.from_arrays(
