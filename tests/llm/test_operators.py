@@ -189,6 +189,21 @@ def test_long_blank_runs_have_the_tokenizers_ids(run):
     assert packing.encoder(packing.TOKENIZER)(text) == np.array(ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize("capacity", [16, 1024])
+def test_cuts_fill_their_class(capacity):
+    packer = packing.Packer(capacity, 0)
+    whole = set()
+    for n in range(1, capacity + 1):
+        size = packer._cut(n)
+        k = capacity // size
+        assert 0 < size <= n
+        assert capacity - k * size <= max(capacity // packing.SPARE, k)
+        if size == n:
+            whole.add(k)
+    assert whole == {capacity // n for n in range(1, capacity + 1)}
+    assert packer._cut(capacity + 1) == capacity
+
+
 # 5: licence scans
 
 def test_notices_are_found_and_other_text_is_not(docs):
@@ -358,10 +373,75 @@ def test_components_against_brute_force(docs):
     assert simhash.near_duplicate_groups(frame.limit(0)).count() == 0
 
 
+def _close(points, radius):
+    """All pairs within the radius, and the smallest fingerprint reachable from each."""
+    values = np.array(points, np.int64)
+    near = np.bitwise_count((values[:, None] ^ values[None, :]).view(np.uint64)) <= radius
+    root = values.copy()
+    while True:
+        low = np.where(near, root[None, :], np.iinfo(np.int64).max).min(axis=1)
+        if (low == root).all():
+            return near, dict(zip(points, root.tolist()))
+        root = low
+
+
+def _crowded():
+    """Fingerprints of a few crowded places, so that buckets are dealt on, and some strangers."""
+    rng = random.Random(18)
+    points = {rng.getrandbits(64) for _ in range(300)}
+    for centre in [0, *(rng.getrandbits(64) for _ in range(2))]:
+        low = rng.sample(range(64), 14)
+        points |= {centre ^ sum(1 << b for b in low if rng.random() < 0.4) for _ in range(900)}
+    return sorted(simhash._signed(p) for p in points)
+
+
+@pytest.mark.parametrize("radius, bucket", [(2, 256), (2, 2), (1, 2), (3, 4096)])
+def test_links_of_crowded_buckets_against_brute_force(spark, monkeypatch, radius, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    points = _crowded()
+    frame = spark.createDataFrame([(p,) for p in points], "fp long")
+    near, root = _close(points, radius)
+    place = {p: i for i, p in enumerate(points)}
+    found = [tuple(r) for r in simhash.links(frame, radius).collect()]
+    assert all(near[place[a], place[b]] for a, b in found)
+    assert len(found) == len(set(found))
+    got = dict(root)
+    if found:
+        nodes = simhash.components(spark.createDataFrame(found, "a long, b long"))
+        got = {p: p for p in points} | {r["node"]: r["root"] for r in nodes.collect()}
+    assert got == root
+
+
+def test_every_table_finds_pairs_of_its_own(spark, monkeypatch):
+    pairs = [(0, 1 << i | 1 << j) for i, j in itertools.combinations(range(7), 2)]
+    whole = simhash.masks(2)
+    for gone in range(len(whole)):
+        monkeypatch.setattr(simhash, "masks", lambda radius, seen=0: whole[:gone] + whole[gone + 1:])
+        lost = [p for p in pairs if not any(p[0] & m == p[1] & m for m in simhash.masks(2))]
+        assert lost
+        # Far from one another, so that no third fingerprint joins the two.
+        frame = spark.createDataFrame([(p,) for p in lost[0]], "fp long")
+        assert simhash.links(frame, 2).count() == 0
+    monkeypatch.undo()
+    assert simhash.links(frame, 2).count() == 1
+
+
 def test_masks_cover_all_pairs_of_bits():
-    tables = simhash.masks(2)
-    for i, j in itertools.combinations_with_replacement(range(64), 2):
-        assert any(not m >> i & 1 and not m >> j & 1 for m in tables)
+    for seen in (0, *simhash.masks(2)):
+        tables = simhash.masks(2, seen)
+        assert all(m & seen == seen for m in tables)
+        free = [i for i in range(64) if not seen >> i & 1]
+        for i, j in itertools.combinations_with_replacement(free, 2):
+            assert any(not m >> i & 1 and not m >> j & 1 for m in tables)
+        if seen:
+            assert all(64 - m.bit_count() <= simhash.FREE for m in tables)
+
+
+def test_links_of_a_bucket_are_a_forest():
+    members = np.array(_crowded(), np.int64)
+    near, root = _close(members.tolist(), 2)
+    a, b = simhash._forest(members.view(np.uint64), 2)
+    assert sum(map(len, a)) == len(members) - len(set(root.values()))
 
 
 # 9: substring dedup

@@ -2,11 +2,12 @@
 
 Lengths fall into classes by reciprocals of the capacity: class k holds the lengths in
 (capacity / (k + 1), capacity / k], and a bin of class k is k pieces. A document gives full bins
-(class 1) first. What is left may be cut: powers of two of the capacity, which fill their bins
-exactly, are cut off until less than a sixteenth is left, which goes as one piece into its class
-(k of 16 and more, at most 1/17 of the bin unused). Every worker fills its bins by itself; only
-at the end of a partition are bins open, at most one per class, and their pieces are laid end to
-end, cut at the capacity, and the last bin at powers of two, so that those need no padding.
+(class 1) first. What is left goes whole into its class k if k pieces of its length leave at most a
+``SPARE``-th of the bin unused; otherwise capacity // (k + 1) ids are cut off, which fill their
+class but for at most k, and the rest is looked at in the same way. Every worker fills its bins by
+itself; only at the end of a partition are bins open, at most one per class, and their pieces are
+laid end to end, cut at the capacity, and the last bin at powers of two, so that those need no
+padding.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 0
 CAPACITY = 1024
 BLOCK = 2 << 20  # bytes of text whose pieces are sent on together
-WHOLE_FROM = 16  # pieces of this class and above are not cut further
+SPARE = 32  # a piece is not cut further if bins of its like leave no more than this part of them
 BLANKS = 50_000  # a run of so many blanks goes to the tokenizer; the rank encoder's stack ends below a million
 
 _LONG_BLANK = re.compile(rf"(?<!\s)\s{{{BLANKS}}}")
@@ -62,10 +63,10 @@ class Packer:
     def _cut(self, left: int) -> int:
         if left >= self.capacity:
             return self.capacity
-        size = self.capacity
-        while size > left:
-            size //= 2
-        return left if self.capacity // left >= WHOLE_FROM else size
+        k = self.capacity // left
+        spare = self.capacity - k * left
+        longest = left == self.capacity // k  # of its class
+        return left if longest or spare * SPARE <= self.capacity else self.capacity // (k + 1)
 
     def _bin(self, pieces: list[Piece]) -> Iterator[tuple[Piece, int, int]]:
         offset = 0

@@ -6,29 +6,29 @@ that length is a table: it looks at the bits whose vector has an odd product wit
 differing bits give r equations in r + 1 unknowns, so some nonzero v is orthogonal to all of them:
 its table sees none of the differences, and the pair collides there. No pair is lost.
 
-Buckets are counted, never listed: a fingerprint that shares no bucket in any table has no partner.
-Those that do are compared exactly without pairing them up: each is placed at all points within
-r / 2 bits of itself, and any two placed at one point are within r bits of one another, while any
-two within r bits meet at a point half way. So every point links its members to the smallest of
-them: a group of n texts gives n - 1 links for a point, not n squared. A fingerprint stands for all
-its texts, however many.
+A bucket with more than ``BUCKET`` fingerprints is not compared as it is: its members are dealt to
+the same kind of tables over the bits that its own table does not look at, in which every close
+pair of the bucket collides again. The members of a bucket agree in all bits seen so far, so once
+``FREE`` bits are left there are at most 2^``FREE`` of them, whatever the data; nothing is capped.
+Within a bucket each fingerprint is compared with those not linked yet, so n linked ones give n - 1
+links, not n squared. A fingerprint stands for all its texts, however many.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import as_bytes, blocks, small_batches, stored
 
 BITS = 64
 SEED = 42
-# The r + 1 bit vector of fingerprint bit i is 1 + i mod (2^(r+1) - 1): all nonzero, evenly used.
+BUCKET = 256  # larger buckets are dealt to further tables
+FREE = 12  # until so few bits are left
 
 
 def fingerprint(text: bytes, width: int) -> int:
@@ -69,10 +69,16 @@ def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id",
     return source.mapInArrow(run, f"_doc {kind}, fp bigint").withColumnRenamed("_doc", id_col)
 
 
-def masks(radius: int) -> list[int]:
-    """The tables' bit masks, one per nonzero vector of radius + 1 bits."""
+def masks(radius: int, seen: int = 0) -> list[int]:
+    """The tables' bit masks, one per nonzero vector of radius + 1 bits.
+
+    A table looks at the bits of ``seen`` too; vectors are given to the others, the i-th one
+    1 + i mod (2^(radius+1) - 1): all nonzero, evenly used.
+    """
     size = 2 ** (radius + 1)
-    return [sum(1 << i for i in range(BITS) if ((1 + i % (size - 1)) & v).bit_count() % 2)
+    free = [i for i in range(BITS) if not seen >> i & 1]
+    return [seen | sum(1 << bit for i, bit in enumerate(free)
+                       if ((1 + i % (size - 1)) & v).bit_count() % 2)
             for v in range(1, size)]
 
 
@@ -80,39 +86,72 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _near_points(fp: Column, radius: int) -> Column:
-    """All points within radius // 2 bits; odd radii need one more step, see ``links``."""
-    flips = [_signed(sum(1 << i for i in c))
-             for n in range(radius // 2 + 1) for c in combinations(range(BITS), n)]
-    return F.transform(F.array(*[F.lit(f).cast("bigint") for f in flips]),
-                       lambda m: fp.bitwiseXOR(m))
-
+def _dealt(rows: DataFrame, tables: list[list[int]]) -> DataFrame:
+    """(table, key, fp): each fingerprint in the tables that follow the one it is in."""
+    options = F.array(*[F.array(*[F.struct(
+        F.lit(n * len(group) + i).alias("table"), F.lit(_signed(m)).cast("bigint").alias("mask"))
+        for i, m in enumerate(group)]) for n, group in enumerate(tables)])
+    return (rows.select("fp", F.explode(options[F.col("table")]).alias("t"))
+            .select("t.table", F.col("fp").bitwiseAND(F.col("t.mask")).alias("key"), "fp"))
+
+
+def _forest(members: np.ndarray, radius: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Pairs within the radius that connect all members which such pairs connect."""
+    a, b = [], []
+    left = np.sort(members)
+    while len(left) > 1:
+        waiting, left = [left[:1]], left[1:]
+        while waiting and len(left):
+            for point in waiting.pop():
+                near = np.bitwise_count(left ^ point) <= radius
+                if near.any():
+                    found = left[near]
+                    a.append(np.minimum(found.view(np.int64), point.view(np.int64)))
+                    b.append(np.maximum(found.view(np.int64), point.view(np.int64)))
+                    waiting.append(found)
+                    left = left[~near]
+    return a, b
+
+
+def _compared(buckets: DataFrame, radius: int) -> DataFrame:
+    """(a, b): links of the buckets (members), each of bounded size."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(0)
+            values = column.flatten().to_numpy().view(np.uint64)
+            ends = np.cumsum(column.value_lengths().to_numpy())
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for members in np.split(values, ends[:-1]):
+                low, high = _forest(members, radius)
+                a += low
+                b += high
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
-def colliding(points: DataFrame, radius: int) -> DataFrame:
-    """Fingerprints that share a bucket with another one in some table."""
-    table = F.explode(F.array(*[
-        F.struct(F.lit(n).alias("table"),
-                 F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("bigint")).alias("key"))
-        for n, m in enumerate(masks(radius))])).alias("t")
-    placed = points.select("fp", table).select("t.table", "t.key", "fp")
-    full = placed.groupBy("table", "key").agg(F.min("fp").alias("_low"), F.max("fp").alias("_high"))
-    full = full.filter("_low <> _high").select("table", "key")
-    return placed.join(full, ["table", "key"], "left_semi").select("fp").distinct()
+    return buckets.mapInArrow(run, "a bigint, b bigint")
 
 
 def links(points: DataFrame, radius: int) -> DataFrame:
-    """(a, b): pairs of fingerprints within the radius that connect all that are linked.
+    """(a, b), a < b: pairs of fingerprints within the radius that connect all that are linked.
 
-    ``points`` has distinct fingerprints in ``fp``. The radius is even.
+    ``points`` has distinct fingerprints in ``fp``. Buckets are counted before they are listed.
     """
-    if radius % 2:
-        raise ValueError("the radius must be even")
-    near = colliding(points, radius).select(
-        "fp", F.explode(_near_points(F.col("fp"), radius)).alias("point"))
-    low = near.groupBy("point").agg(F.min("fp").alias("a"), F.max("fp").alias("_high"))
-    low = low.filter("a <> _high").select("point", "a")
-    return (near.join(low, "point").filter("fp <> a")
-            .select("a", F.col("fp").alias("b")).distinct())
+    small_batches(points.sparkSession)
+    rows, tables, found = points.select("fp", F.lit(0).alias("table")), [0], None
+    while True:
+        groups = [masks(radius, seen) for seen in tables]
+        tables = [m for group in groups for m in group]
+        last = all(BITS - m.bit_count() <= FREE for m in tables)
+        placed = stored(_dealt(rows, groups), "tables")
+        sizes = placed.groupBy("table", "key").agg(F.count("*").alias("_n")).filter("_n > 1")
+        shared = stored(placed.join(sizes, ["table", "key"]), "buckets")
+        small = shared if last else shared.filter(F.col("_n") <= BUCKET)
+        pairs = _compared(small.groupBy("table", "key").agg(
+            F.collect_list("fp").alias("members")).select("members"), radius)
+        found = pairs if found is None else found.unionByName(pairs)
+        rows = shared.filter(F.col("_n") > BUCKET).select("fp", "table")
+        if last or rows.isEmpty():
+            return found.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
