@@ -59,6 +59,36 @@ def test_top_k_of_odd_vectors(spark):
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def _best_of(vectors, queries, k=5):
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in vectors}
+    out = set()
+    for q in queries:
+        ranked = sorted((-sum(a * b for a, b in zip(whole[q], v)), i)
+                        for i, v in whole.items() if i != q)[:k]
+        out |= {(q, n, i, -s if abs(s) < 2 ** 63 else None) for n, (s, i) in enumerate(ranked, 1)}
+    return out
+
+
+@pytest.mark.parametrize("size", [1.0, 1e10, 8e12])
+def test_top_k_of_copies_and_large_components(spark, size):
+    rng = np.random.default_rng(int(size) % 97)
+    vectors = [(i, (size * rng.normal(size=5)).tolist()) for i in range(150)]
+    vectors += [(150 + i, vectors[i % 3][1]) for i in range(151)]  # queries among the copies
+    vectors += [(400 + i, [x + i / 256 for x in vectors[7][1]]) for i in range(5)]  # nearly tied
+    kind = "vec_id long, embedding array<double>"
+    frame = spark.createDataFrame([*vectors, (500, [1e300] * 5), (501, [4e13] + [0.0] * 4)], kind)
+    got = topk.top_k(frame, F.col("vec_id") % 50 == 0)
+    assert set(map(tuple, got.collect())) == _best_of(vectors, [*range(0, 301, 50), 400])
+
+
+def test_top_k_of_one_vector_alone(spark):
+    frame = spark.createDataFrame([(i, [1.0]) for i in range(0, 400, 2)], VECTORS)
+    got = topk.top_k(frame, F.col("vec_id") % 50 == 0, k=2)
+    assert set(map(tuple, got.collect())) == {
+        (q, n, i, 65536) for q in range(0, 400, 50)
+        for n, i in enumerate([i for i in (0, 2, 4) if i != q][:2], 1)}
+
+
 # 2: LM scoring
 
 @pytest.mark.parametrize("high", [1, 10, 10 ** 6, 2 ** 62])
