@@ -11,6 +11,7 @@ import re
 import zlib
 from dataclasses import replace
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import (
-    bpe, exact_dedup, license_scan, ngram_lm, packing, simhash, substring, token_rollup, topk,
-    toxicity,
+    bpe, exact_dedup, license_scan, ngram_lm, packing, queries, simhash, substring, token_rollup,
+    topk, toxicity,
 )
 from tidemark.llm.elias_fano import EliasFano
 
@@ -348,6 +349,21 @@ def test_batches_count_once(docs, spark, tmp_path):
 
 # 7: exact dedup
 
+def test_token_counts_of_rows_without_an_id(docs, spark, tmp_path):
+    frame = docs((None, "a b c"), (None, None), (1, "d e"), (2, "f"), (2, "f"), (3, ""))
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0), (None, 0), (2, 1)], "doc_id long, quality int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    db = duckdb.connect()
+    for table in ("documents", "labels"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    got = queries.op6_token_counts(spark, str(tmp_path))
+    expected = db.execute("SELECT source, lang, tokenizer, docs, tokens FROM ("
+                          + queries.ORACLES["op6_token_counts"] + ")").fetchall()
+    assert sorted(map(tuple, got.select("source", "lang", "tokenizer", "docs", "tokens").collect())) \
+        == sorted(expected) == [("s", "en", "bytes-1", 5, 7), ("s", "en", "words-1", 5, 5)]
+
+
 @pytest.mark.parametrize("ids", [exact_dedup.chunk_ids, lambda c: [F.length(c).cast("bigint")]])
 def test_equal_texts_whatever_the_identifiers(docs, ids):
     """The second identifier is the same for different chunks, which their contents tell apart."""

@@ -53,14 +53,17 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after loads with provisional counts, a revision, a takedown and two retries."""
+    """Totals after loads with provisional counts, a revision, a takedown and two retries.
+
+    Rows without an id are in the first load, and no takedown names them.
+    """
     docs = documents(spark, sf_dir)
     path = work_dir(spark, "token-totals")
     rows = stored(token_rollup.counted(docs, {
         "words-1": token_rollup.word_count(F.col("text")),
         "bytes-1": token_rollup.byte_count(F.col("text"))}, keep=("n_chars",)), "token-counts")
     bad = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 0").select("doc_id")
-    loads = {f"load-{n}": token_rollup.inserts(rows.filter(of_id(4) == n), "n_chars")
+    loads = {f"load-{n}": token_rollup.inserts(rows.filter(F.coalesce(of_id(4), F.lit(0)) == n), "n_chars")
              for n in range(4)}
     later = {"revision": token_rollup.revisions(rows, "n_chars"),
              "takedown": token_rollup.deletes(rows.join(bad, "doc_id", "left_semi"))}
@@ -173,7 +176,8 @@ ORACLES: dict[str, str] = {
     "op6_token_counts": """
         WITH live AS (
             SELECT source, lang, coalesce(text, '') AS t FROM documents
-            WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)),
+            WHERE doc_id IS NULL OR doc_id NOT IN (
+                SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)),
         counted AS (
             SELECT source, lang, 'words-1' AS tokenizer,
                    len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS n FROM live
