@@ -67,7 +67,7 @@ def _landed_since(df: DataFrame, day: datetime.date) -> DataFrame:
 
 def _daily_since(spark: SparkSession, zones: Zones, day: datetime.date) -> DataFrame:
     path = zones.raw("market_data")
-    if not read.exists(spark, f"{path}/ticker=*/{RUN_DATE[0]}=*"):
+    if not read.has_daily_prices(spark, path):
         return clean.clean_prices(read.no_rows(spark, PRICES_RAW))
     return clean.clean_prices(_landed_since(read.read_daily_prices(spark, path), day))
 
