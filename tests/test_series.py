@@ -223,3 +223,16 @@ def test_equal_values_have_no_deviation(spark, frame):
                                "ticker string, date date, v double")
     got = column(series.rolling_moments(df, "v", frame), "stddev_v", "date")
     assert got[0] is None and set(got[1:]) == {0.0}
+
+
+def test_tasks_of_a_split_fill_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(split, "TASK_ROWS", 1_000)
+    walk = spark.range(20_000).select(
+        F.lit("A").alias("ticker"), F.col("id").alias("date"),
+        F.when(F.col("id") % 7 == 3, F.col("id")).alias("a"))
+    for n in (10_000, 20_000):
+        filled = split.fill_split(walk.limit(n), ["a"], rows=100)
+        held = filled.groupBy(F.spark_partition_id()).count().collect()
+        assert len(held) > 0.8 * n / 1_000 and max(r["count"] for r in held) <= 4_000
+        assert filled.filter(F.col("a") != F.greatest(
+            F.lit(3), F.col("date") - (F.col("date") + 4) % 7)).count() == 0
