@@ -236,3 +236,19 @@ def test_tasks_of_a_split_fill_grow_with_the_rows(spark, monkeypatch):
         assert len(held) > 0.8 * n / 1_000 and max(r["count"] for r in held) <= 4_000
         assert filled.filter(F.col("a") != F.greatest(
             F.lit(3), F.col("date") - (F.col("date") + 4) % 7)).count() == 0
+
+
+def test_as_of_rows_carry_their_day_and_side_once(spark, monkeypatch):
+    moved = []
+    whole = split.fill_split
+
+    def fill_split(df, *args, **kwargs):
+        moved.append(df.columns)
+        return whole(df, *args, **kwargs)
+
+    monkeypatch.setattr(split, "fill_split", fill_split)
+    prices = spark.createDataFrame([("A", day(n), 1.0 * n) for n in (1, 3, 4)], "ticker string, date date, close double")
+    known = spark.createDataFrame([("A", day(2), 5), ("A", day(4), None)], "ticker string, date date, earnings long")
+    got = series.attach_asof(prices, known, split_rows=2)
+    assert moved == [["ticker", "_at", "_known", "_row"]]
+    assert rows(got, "date") == [("A", day(1), 1.0, None), ("A", day(3), 3.0, 5), ("A", day(4), 4.0, None)]
