@@ -73,6 +73,18 @@ def test_deduplicated_feeds_join_without_another_shuffle(spark, px, sf_dir):
     assert (len(by_both), len(by_ticker)) == (2, 1)  # prices and metrics; prices
 
 
+def test_fact_of_gathered_feeds_moves_no_joined_row(spark, sf_dir):
+    """An exchange by ticker of the prices and one of the snapshots, and none between join and windows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(QUERIES["market_and_risk"](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"Exchange hashpartitioning\(ticker#\d+, \d+\)", text)) == 2
+    assert not re.findall(r"Exchange hashpartitioning\(ticker#\d+, date#\d+, \d+\)", text)
+    assert len(re.findall("SortMergeJoin", text)) == 2  # input, and prices with snapshots
+
+
 def test_no_frame_runs_from_the_current_row_to_the_end(spark, sf_dir):
     for name in ("fill_both", "bfill", "market_and_risk"):
         text = plan(QUERIES[name](spark, sf_dir))
