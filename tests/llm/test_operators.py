@@ -327,6 +327,26 @@ def test_licences_of_odd_input(docs, spark):
     assert license_scan.train(frame.limit(0)).least >= license_scan.LEAST
 
 
+def test_all_scored_stretches_are_learned_or_kept(docs, monkeypatch):
+    """However few paragraphs are drawn to set notices into."""
+    for name in ("DRAWN", "SAMPLE"):
+        monkeypatch.setattr(license_scan, name, 2, raising=False)
+    seen, fit = [], license_scan.LogisticRegression.fit
+
+    def counted(self, rows, *args):
+        seen.append(rows.filter("label = 0").count())
+        return fit(self, rows, *args)
+
+    monkeypatch.setattr(license_scan.LogisticRegression, "fit", counted)
+    texts = [f"The office of town {i} sent driver {7 * i} a license." for i in range(300)]
+    model = license_scan.train(docs(*texts, *texts, *["none"] * 9))
+    # A half of the 300 by hash, as they are and their first words; copies count once.
+    others = 2 * 2 * 2 + license_scan.COPIES * len(license_scan.OTHER)
+    assert 200 < seen[0] - others < 400
+    found = by_id(license_scan.license_report(docs(*texts), model), "licenses", "n_unknown")
+    assert set(found.values()) == {(None, 1)}
+
+
 def test_no_notice_is_longer_than_a_step():
     assert all(len(re.findall("[A-Za-z0-9.]+", t)) <= license_scan.STEP
                for ts in license_scan.NOTICES.values() for t in ts)

@@ -8,10 +8,11 @@ confirms a named family: its telling words stand in the stretch (the name with i
 wording of its own) and it holds enough of the bigrams of one of its notices. Nothing stands that
 the classifier does not name.
 
-The classifier learns from thinned-out copies of notices, set into stretches of the corpus' own, and
-from such stretches without them, the unknown class; both come from a bounded sample. Others of that
-sample, held out, calibrate it. ``SIGNS`` stands wherever telling words do, so stretches without it
-could never be confirmed and are not scored. Built-in functions and the library's estimator only.
+``SIGNS`` stands wherever telling words do, so stretches without it could never be confirmed and are
+not scored. The classifier learns the unknown class from all stretches that are scored and hold
+little of a notice, but for a half of them by hash, which calibrates it. What it is to find are
+thinned-out copies of notices, a fixed number, set into as many paragraphs as ``DRAWN`` says; these
+are learned without the notice as well. Built-in functions and the library's estimator only.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import stored
 
-SAMPLE = 4_000  # paragraphs of the corpus for training, and as many for calibration
+DRAWN = 4_000  # paragraphs for the copies of notices that are learned, and as many for those held out
+WEIGHT = 16_000  # rows that the unknown class weighs at most, however many there are
 COPIES = 10  # thinned-out copies of each notice
 HELD = 2  # copies that are not learned but calibrate
 FEATURES = 1 << 13
@@ -227,7 +229,7 @@ def contained(pairs: Column, known: Column) -> Column:
 def _set_in(notices: DataFrame, ordinary: DataFrame) -> DataFrame:
     """(label, _words): each copy of a notice with up to a stretch of ordinary words around it."""
     numbered = ordinary.select("_words", (F.row_number().over(Window.orderBy("_h")) - 1).alias("_n"))
-    count = max(1, ordinary.count())  # at most SAMPLE rows
+    count = max(1, ordinary.count())  # some DRAWN rows
     draw = F.xxhash64("label", "_paragraph", "_copy")
     placed = notices.withColumn("_n", F.pmod(draw, F.lit(count))).withColumn(
         "_own", words(F.col("_paragraph"))).join(numbered, "_n", "left")
@@ -242,43 +244,56 @@ def _set_in(notices: DataFrame, ordinary: DataFrame) -> DataFrame:
         F.slice("_around", F.col("_before") + 1, F.col("_length") - F.col("_before"))).alias("_words"))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Model:
-    """From the notices and a stretch each of two samples of at most ``SAMPLE`` different
-    paragraphs, drawn by hash. Stretches that hold much of a notice are not taken for ordinary.
-    The least probability leaves ``PASSING`` of the held-out stretches unknown, or is what names
+def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+          cut: DataFrame | None = None) -> Model:
+    """From the notices, set into a stretch each of ``DRAWN`` different paragraphs, and from all
+    different stretches with signs. Those that hold much of a notice are not taken for ordinary.
+    The least probability leaves ``PASSING`` of the held-out half unknown, or is what names
     ``FOUND`` of the held-out notices where that is lower: template comparison still refuses, and
-    what is not named is lost. It is ``LEAST`` at least."""
+    what is not named is lost. It is ``LEAST`` at least. ``cut``: what ``signed`` found, if known."""
     lines = paragraphs(docs, id_col, text).withColumn("_h", F.xxhash64("_paragraph"))
-    chosen = lines.select("_h").distinct().orderBy("_h").limit(2 * SAMPLE)
+    chosen = lines.select("_h").distinct().orderBy("_h").limit(2 * DRAWN)
     drawn = lines.join(F.broadcast(chosen), "_h").select("_h", words(F.col("_paragraph")).alias("_all"))
     # One stretch of each, its place drawn by hash.
     place = F.pmod(F.xxhash64("_h"), F.greatest(F.size("_all") - 2 * STEP, F.lit(0)) + 1).cast("int")
     drawn = drawn.select("_h", F.slice("_all", place + 1, 2 * STEP).alias("_words"))
-    drawn = _tokens(drawn.groupBy("_h").agg(F.min("_words").alias("_words")), F.col("_words"))
     every = _known(docs).agg(F.flatten(F.collect_list("_known")).alias("_known"))
-    ordinary = stored(
-        drawn.crossJoin(F.broadcast(every))  # one row
-        .filter(F.coalesce(contained(F.col("_pairs"), F.col("_known")), F.lit(0.0)) < LIKE)
-        .select("_h", F.pmod(F.xxhash64("_h", F.lit(1)), F.lit(2)).alias("_half"), "_words"),
-        "ordinary-stretches")
-    learned, kept = (ordinary.filter(F.col("_half") == n).select("_h", "_words") for n in (0, 1))
+
+    def ordinary(rows: DataFrame, name: str) -> list[DataFrame]:
+        """The halves, learned and kept, of different stretches without much of a notice."""
+        each = _tokens(rows.groupBy("_h").agg(F.min("_words").alias("_words")), F.col("_words"))
+        halves = stored(
+            each.crossJoin(F.broadcast(every))  # one row
+            .filter(F.coalesce(contained(F.col("_pairs"), F.col("_known")), F.lit(0.0)) < LIKE)
+            .select("_h", F.pmod(F.xxhash64("_h", F.lit(1)), F.lit(2)).alias("_half"), "_words"), name)
+        return [halves.filter(F.col("_half") == n).select("_h", "_words") for n in (0, 1)]
+
+    learned, kept = ordinary(drawn, "ordinary-stretches")
+    cut = signed(docs, id_col, text) if cut is None else cut
+    scored = cut.filter("_words IS NOT NULL").select(
+        F.xxhash64("_words").alias("_h"), "_words")
+    scored_learned, scored_kept = ordinary(scored, "scored-stretches")
 
     def plain(rows: DataFrame) -> DataFrame:
         both = F.explode(F.array("_words", F.slice("_words", 1, SHORT)))
         return rows.select(F.lit(0.0).alias("label"), both.alias("_words"))
 
     copies = _notices(docs)
-    given = _tokens(_set_in(copies.filter(F.col("_copy") < COPIES), learned).unionByName(plain(learned)),
-                    F.col("_words"))
+    unknown = plain(learned.unionByName(scored_learned))
+    weight = min(1.0, WEIGHT / max(1, unknown.count()))
+    given = _tokens(
+        _set_in(copies.filter(F.col("_copy") < COPIES), learned).withColumn("_weight", F.lit(1.0))
+        .unionByName(unknown.withColumn("_weight", F.lit(weight))), F.col("_words"))
     model = LogisticRegression(
-        featuresCol="_features", labelCol="label", family="multinomial", regParam=1e-3,
-        maxIter=40).fit(_hashed(given).select("label", "_features").coalesce(2))  # bounded rows
+        featuresCol="_features", labelCol="label", weightCol="_weight", family="multinomial",
+        regParam=1e-3, maxIter=40).fit(stored(
+            _hashed(given).select("label", "_weight", "_features"), "learned-stretches"))
 
     def quantile(rows: DataFrame, chance: Column, share: float) -> float | None:
         return _chances(_tokens(rows, F.col("_words")), model).agg(
             F.percentile_approx(chance, share)).first()[0]
 
-    passing = quantile(plain(kept), F.array_max("_chances"), PASSING)
+    passing = quantile(plain(kept.unionByName(scored_kept)), F.array_max("_chances"), PASSING)
     held = _set_in(copies.filter((F.col("_copy") >= COPIES) & (F.col("label") > 0)), kept)
     found = quantile(held, F.element_at("_chances", F.col("label").cast("int")), 1 - FOUND)
     return Model(model, max(LEAST, min(passing or 0.5, found)))
@@ -301,15 +316,21 @@ def confirmed(df: DataFrame) -> DataFrame:
         "similarity", contained(F.col("_pairs"), F.col("_known"))).filter(F.col("similarity") >= ALIKE)
 
 
-def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per paragraph with a sign of a notice and family in it: id, paragraph number, family,
-    probability, similarity (share of a notice found). A paragraph with signs in which no family
-    stands has one row, ``unknown``, with neither."""
+def signed(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(_doc, _at, _two, _words): the stretches with signs of paragraphs with signs, or null for none."""
     signs = F.lower(F.col(text).cast("string")).rlike(SIGNS)
     lines = paragraphs(docs.filter(signs), id_col, text).filter(F.lower("_paragraph").rlike(SIGNS))
     cut = lines.select("_doc", "_at", "_two", words(F.col("_paragraph")).alias("_all"))
-    signed = F.filter(_stretches(F.col("_all")), lambda s: F.concat_ws(" ", s).rlike(SIGNS))
-    cut = stored(cut.select("_doc", "_at", "_two", F.explode_outer(signed).alias("_words")), "stretches")
+    found = F.filter(_stretches(F.col("_all")), lambda s: F.concat_ws(" ", s).rlike(SIGNS))
+    return stored(cut.select("_doc", "_at", "_two", F.explode_outer(found).alias("_words")), "stretches")
+
+
+def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text",
+         cut: DataFrame | None = None) -> DataFrame:
+    """One row per paragraph with a sign of a notice and family in it: id, paragraph number, family,
+    probability, similarity (share of a notice found). A paragraph with signs in which no family
+    stands has one row, ``unknown``, with neither. ``cut``: what ``signed`` found, if known."""
+    cut = signed(docs, id_col, text) if cut is None else cut
     alike = confirmed(named(cut.filter("_words IS NOT NULL"), model))
     two = F.col("_two") & (F.col("_family") == "BSD-3-Clause") & F.array_contains("_pairs", "binary forms")
     stands = alike.select(
@@ -329,13 +350,13 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "tex
         F.col("_b._s.similarity").alias("similarity"))
 
 
-def license_report(docs: DataFrame, model: Model, id_col: str = "doc_id",
-                   text: str = "text") -> DataFrame:
+def license_report(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text",
+                   cut: DataFrame | None = None) -> DataFrame:
     """One row per row: id, licenses (families in alphabetical order, null without one),
     n_notices, n_unknown (paragraphs with signs but no confirmed family), probability (of the
     surest notice). A paragraph's notices of one family count once. Rows that share an id share their notices; null ids count as one id."""
     known = F.col("family") != UNKNOWN
-    found = scan(docs, model, id_col, text).groupBy(F.col(id_col).alias("_id")).agg(
+    found = scan(docs, model, id_col, text, cut).groupBy(F.col(id_col).alias("_id")).agg(
         F.concat_ws(", ", F.array_sort(F.collect_set(F.when(known, F.col("family"))))).alias("licenses"),
         F.count_if(known).alias("n_notices"), F.count_if(~known).alias("n_unknown"),
         F.max(F.when(known, F.col("probability"))).alias("probability"))
