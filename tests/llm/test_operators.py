@@ -82,6 +82,20 @@ def test_top_k_of_copies_and_large_components(spark, size):
     assert set(map(tuple, got.collect())) == _best_of(vectors, [*range(0, 301, 50), 400])
 
 
+def test_top_k_broadcasts_no_vectors(spark):
+    rng = np.random.default_rng(5)
+    frame = spark.createDataFrame(
+        [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(120)], VECTORS)
+    got = topk.top_k(frame, F.col("vec_id") % 50 == 0)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    joins = re.findall(r"(\w+Join) \[(\w+)#.*?, (Inner|LeftSemi|LeftOuter)", plan)
+    # Blocks, candidates and members; of queries the vectors are broadcast, as their bytes are counted.
+    merged = [key for kind, key, how in joins if kind == "SortMergeJoin" and how == "Inner"]
+    assert sorted(merged) == ["block", "block", "point", "vec_id", "vec_id"]
+    assert sorted(key for kind, key, how in joins if kind == "BroadcastHashJoin" and how == "Inner") == [
+        "point", "query_id", "query_id"]
+
+
 def test_top_k_of_one_vector_alone(spark):
     frame = spark.createDataFrame([(i, [1.0]) for i in range(0, 400, 2)], VECTORS)
     got = topk.top_k(frame, F.col("vec_id") % 50 == 0, k=2)

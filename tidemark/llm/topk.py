@@ -28,6 +28,7 @@ from .common import stored
 LISTS = 2
 ROW_BLOCK, QUERY_BLOCK = 2048, 512
 LARGEST = 2.0 ** 53  # scaled components below it are doubles and whole
+BROADCAST_BYTES = 4 << 20  # queries' vectors up to so many are broadcast
 _SLACK = 2.0 ** -40  # rounding of a part, as a share of its absolute products, is far smaller
 _ENTRY = "query_id bigint, vec_id bigint, part double"
 
@@ -72,7 +73,7 @@ def _tiles(rows: DataFrame, queries: DataFrame, blocks: int) -> DataFrame:
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))
     asked = queries.select(F.explode(every).alias("block"), "list", F.col("ids").alias("qids"),
                            F.col("values").alias("qvalues"), F.col("shares").alias("qshares"))
-    return rows.drop("shares").join(asked, ["block", "list"]).select(
+    return rows.drop("shares").hint("merge").join(asked, ["block", "list"]).select(
         "list", "ids", "values", "qids", "qvalues", "qshares")
 
 
@@ -133,7 +134,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
     points = members.filter("_n = 1").select("vec_id", "values")
     named = points.withColumnRenamed("vec_id", "point")
     askers = stored(rows.filter(is_query).withColumnRenamed("vec_id", "query_id")
-                    .join(named, "values").select("query_id", "point"), "queries")
+                    .join(named.hint("merge"), "values").select("query_id", "point"), "queries")
     asked = points.join(askers.select(F.col("point").alias("vec_id")), "vec_id", "left_semi")
     largest = F.max(F.greatest(F.abs(F.array_max("values")), F.abs(F.array_min("values"))))
     count, width, most = points.select(F.count("*"), F.max(F.size("values")), largest).first()
@@ -153,7 +154,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
         """Whole scores of (query_id, vec_id)."""
         kind = "bigint" if exact else "decimal(38,0)"
         q = asked.select(F.col("vec_id").alias("query_id"), F.col("values").alias("_q"))
-        both = pairs.join(q, "query_id").join(points, "vec_id")
+        if queries * (width or 0) * 8 <= BROADCAST_BYTES:  # pairs move without a vector
+            both = pairs.join(points.hint("merge"), "vec_id").join(F.broadcast(q), "query_id")
+        else:
+            both = pairs.join(q.hint("merge"), "query_id").join(points.hint("merge"), "vec_id")
         products = F.zip_with("_q", "values", lambda a, b: F.coalesce(
             a.cast(kind) * b.cast(kind), F.lit(0)).cast(kind))
         return both.select("query_id", "vec_id", F.aggregate(
@@ -174,8 +178,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
     found = _top(resolved(sent.select("query_id", "vec_id").distinct()), k + 1, F.col("score"),
                  "query_id").select(F.col("query_id").alias("asker"),
                                     F.col("vec_id").alias("point"), "score")
-    of_vector = _top(found.join(members.select("point", "vec_id"), "point"), k + 1, F.col("score"),
-                     "asker").select(F.col("asker").alias("point"), "vec_id", "score")
+    of_vector = _top(found.join(members.select("point", "vec_id").hint("merge"), "point"), k + 1,
+                     F.col("score"), "asker").select(F.col("asker").alias("point"), "vec_id", "score")
     answers = askers.join(of_vector, "point").filter("query_id <> vec_id")
     return _top(answers, k, F.col("score"), "query_id").select(
         "query_id", "rank", "vec_id", F.expr("try_cast(score AS BIGINT)").alias("score"))
