@@ -128,6 +128,44 @@ def test_updates_equal_builds(spark, zones, monkeypatch):
     assert len(built_anew) == 2
 
 
+def test_packed_updates_equal_builds(spark, zones, monkeypatch):
+    monkeypatch.setattr(write, "PACKS", 4)
+    monkeypatch.setattr(update, "BATCHES", 2)
+    fact = zones.clean("market_and_risk")
+
+    def folders():
+        return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{fact}/pack=*/part-*")}
+
+    def pack(*tickers):
+        df = spark.createDataFrame([(t,) for t in tickers], "ticker string")
+        return {r.p for r in df.select(write.pack_of("ticker").alias("p")).collect()}
+
+    lakehouse.build_market_and_risk(spark, zones, layout=lakehouse.PACKED)
+    update.keep_state(spark, zones)
+    assert _fact(spark, zones) == _rebuilt(spark, zones)
+    first = _weekday(LAST)
+    was = folders()
+    _land_day(spark, zones, first, A=70, N=12)
+    _land_rate(spark, zones, first, 0.08)
+    update.update_market_and_risk(spark, zones, day(first))
+    assert _fact(spark, zones) == _rebuilt(spark, zones)
+    named = {f"pack={p}/" for p in pack("A", "N")}
+    others = {f: t for f, t in was.items() if not any(n in f for n in named)}
+    assert others and others.items() <= folders().items()
+
+    # A first metric fills earlier rows back, so its ticker is built anew, and a day is replaced.
+    _land_day(spark, zones, first, A=71, C=33)
+    _land_metric(spark, zones, "C", first, 5)
+    update.update_market_and_risk(spark, zones, day(first))
+    assert _fact(spark, zones) == _rebuilt(spark, zones)
+
+    # A ticker whose only rows are gone: all is built anew, and the table stays packed.
+    shutil.rmtree(f"{zones.raw('market_data')}/ticker=N")
+    update.update_market_and_risk(spark, zones, day(first))
+    assert _fact(spark, zones) == _rebuilt(spark, zones)
+    assert lakehouse.fact_is_packed(spark, zones) and not glob.glob(f"{fact}/ticker=*")
+
+
 def test_update_reads_the_new_days_only(spark, zones):
     _land_day(spark, zones, LAST, A=70)
     _land_day(spark, zones, LAST + 1, A=71, B=5)

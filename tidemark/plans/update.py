@@ -4,7 +4,8 @@
 longest frame looks back on, and some to spare. ``update_market_and_risk`` then reads the folders of
 the run days since a given day, measures the rows of those days with the stored rows before them,
 and replaces the folders of the tickers that have such rows. All other folders keep their files, and
-neither the history nor the rest of the fact is read.
+neither the history nor the rest of the fact is read. Of a packed fact the folders that hold such tickers
+are replaced, some at a time, with the rows of their other tickers as they are.
 
 Rows land on their own day or later, so all rows of a day and after it lie in the run folders from
 that day on. Tickers that the stored rows do not tell enough of (a metric becomes known that earlier
@@ -34,6 +35,7 @@ from .lakehouse import Zones
 
 SPARE = 42  # rows beyond the look-back: days that an update may replace without a rebuild
 KEPT = silver.LOOK_BACK + SPARE
+BATCHES = 8  # in which a packed fact's folders are replaced: old and new ones lie side by side meanwhile
 ROLL = 2  # days by which a weekend's snapshot moves on
 
 Feeds = tuple[DataFrame, DataFrame, DataFrame]
@@ -55,7 +57,7 @@ def keep_state(spark: SparkSession, zones: Zones) -> None:
     ends = [h.agg(F.max("date")).first()[0] for h in map(
         clean.clean_prices, lakehouse.raw_history(spark, zones))]
     end = max((e for e in ends if e is not None), default=None)
-    enriched = series.enrich_series(*lakehouse.raw_feeds(spark, zones), backfill=False)
+    enriched = series.enrich_series(*lakehouse.raw_feeds(spark, zones, "ticker"), backfill=False)
     write.overwrite_table(
         _newest(enriched).withColumn("history_end", F.lit(end).cast("date")), _state_path(zones))
 
@@ -145,9 +147,11 @@ def update_market_and_risk(spark: SparkSession, zones: Zones, since: datetime.da
     going_on, anew = (touched.filter(F.col("anew") == b).select("ticker") for b in (False, True))
 
     newer, forward = _continued(_of(before, going_on), _of(joined, going_on), start)
-    kept = _of(lakehouse.read_fact(spark, zones), going_on).filter(F.col("date") < F.lit(start))
-    rows, states = kept.select(*newer.columns).unionByName(newer), _of(before, going_on).unionByName(
-        forward.select(*before.columns))
+    packed = lakehouse.fact_is_packed(spark, zones)
+    rows, states = newer, _of(before, going_on).unionByName(forward.select(*before.columns))
+    if not packed:
+        kept = _of(lakehouse.read_fact(spark, zones), going_on).filter(F.col("date") < F.lit(start))
+        rows = kept.select(*newer.columns).unionByName(newer)
     if not anew.isEmpty():
         raw = tuple(_of(f, anew) if "ticker" in f.columns else f
                     for f in lakehouse.raw_feeds(spark, zones))
@@ -157,10 +161,37 @@ def update_market_and_risk(spark: SparkSession, zones: Zones, since: datetime.da
     state_now = stored(
         old.join(touched, on="ticker", how="left_anti").unionByName(_newest(states))
         .withColumn("history_end", F.lit(history_end).cast("date")), "update-state")
-    write.land(folders, zones.clean("market_and_risk"), "ticker", sort_by=["date"])
+    if packed:
+        _replace_packed(spark, zones, folders, touched.select("ticker", "anew"), start)
+    else:
+        write.land(folders, zones.clean("market_and_risk"), "ticker", sort_by=["date"])
     write.overwrite_table(state_now, _state_path(zones))
 
 
+def _replace_packed(spark: SparkSession, zones: Zones, fresh: DataFrame, touched: DataFrame,
+                    start: datetime.date) -> None:
+    """Replace the folders that hold touched tickers: of these the rows before ``start`` stay, unless
+    the ticker is built anew, and ``fresh`` is added; all rows of others stay.
+
+    Files are read before the new ones take their place, and a folder is read in its own batch alone, so
+    every batch can be run again.
+    """
+    path = zones.clean("market_and_risk")
+    packs = sorted(r.pack for r in touched.select(
+        write.pack_of("ticker").alias("pack")).distinct().collect())  # 128 at most
+    for n in range(BATCHES):
+        some = [p for i, p in enumerate(packs) if i % BATCHES == n]
+        if not some:
+            continue
+        old = read.read_table(spark, path, silver.FACT).filter(F.col(read.PACK).isin(some))
+        kept = old.join(touched, on="ticker", how="left").filter(
+            F.col("anew").isNull() | (~F.col("anew") & (F.col("date") < F.lit(start))))
+        added = fresh.withColumn(read.PACK, write.pack_of("ticker")).filter(F.col(read.PACK).isin(some))
+        write.land(kept.select(*added.columns).unionByName(added), path, read.PACK,
+                   sort_by=["ticker", "date"], compression="zstd")
+
+
 def _anew(spark: SparkSession, zones: Zones) -> None:
-    lakehouse.build_market_and_risk(spark, zones)
+    layout = lakehouse.PACKED if lakehouse.fact_is_packed(spark, zones) else lakehouse.FOLDERS
+    lakehouse.build_market_and_risk(spark, zones, layout=layout)
     keep_state(spark, zones)
